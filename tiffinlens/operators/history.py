@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import money, time
 from ..functions.lifecycle import (
+    CANCELLED,
     DELIVERED,
     ORDER_STATUSES,
     TERMINAL_STATUSES,
@@ -167,48 +168,34 @@ def latest_agent_position(locations: DataFrame) -> DataFrame:
 
 
 _DELIVERED_INDEX = ORDER_STATUSES.index(DELIVERED)
-_CANCELLED_INDEX = ORDER_STATUSES.index("cancelled")
-_MOVE = "struct<state:int,accepted:array<struct<seq:bigint,state:int>>>"
+_CANCELLED_INDEX = ORDER_STATUSES.index(CANCELLED)
 
 
-def _standing_still(state: Column) -> Column:
-    nothing = F.lit(None).cast("array<struct<seq:bigint,state:int>>")
-    return F.struct(
-        state.cast("int").alias("state"), F.coalesce(nothing, F.array()).alias("accepted")
-    ).cast(_MOVE)
+def _standing_still(state: str) -> str:
+    nothing = "cast(array() as array<struct<seq:bigint,state:int>>)"
+    return f"named_struct('state', {state}, 'accepted', {nothing})"
 
 
-def _step(so_far: Column, update: Column) -> Column:
-    """One strict step: the next stage, or cancelled from any stage that is not final."""
-    state, wanted = so_far["state"], update["state"]
-    allowed = (state < _DELIVERED_INDEX) & (
-        (wanted == state + 1) | (wanted == _CANCELLED_INDEX)
-    )
-    moved = F.struct(
-        wanted.alias("state"),
-        F.concat(
-            so_far["accepted"],
-            F.array(F.struct(update["seq"].alias("seq"), wanted.alias("state"))),
-        ).alias("accepted"),
-    ).cast(_MOVE)
-    return F.when(allowed, moved).otherwise(so_far)
-
-
-def _leap(so_far: Column, part: Column) -> Column:
-    """Many steps at once, through a part's table of outcomes per starting stage."""
-    outcome = F.get(part["moves"], so_far["state"])
-    moved = F.struct(
-        outcome["state"].alias("state"),
-        F.concat(so_far["accepted"], outcome["accepted"]).alias("accepted"),
-    ).cast(_MOVE)
-    return F.when(so_far["state"] < _DELIVERED_INDEX, moved).otherwise(so_far)
-
-
-def _outcomes(parts: Column, step) -> Column:
-    """Where every non-final starting stage ends after the parts in order."""
-    return F.array(
-        *[F.aggregate(parts, _standing_still(F.lit(s)), step) for s in range(_DELIVERED_INDEX)]
-    )
+# Where every starting stage that is not final would end: a table of outcomes.
+_STARTS = f"array({', '.join(_standing_still(str(s)) for s in range(_DELIVERED_INDEX))})"
+
+# One strict step: to the next stage, or to cancelled from any stage that is not final.
+_STEP = f"""
+    case when so_far.state < {_DELIVERED_INDEX}
+              and (part.state = so_far.state + 1 or part.state = {_CANCELLED_INDEX})
+         then named_struct('state', part.state, 'accepted', concat(so_far.accepted, array(part)))
+         else so_far end"""
+
+# Many steps at once, through a part's table of outcomes.
+_LEAP = f"""
+    case when so_far.state between 0 and {_DELIVERED_INDEX - 1}
+         then named_struct('state', part.moves[so_far.state].state,
+                           'accepted', concat(so_far.accepted, part.moves[so_far.state].accepted))
+         else so_far end"""
+
+
+def _outcomes(parts: str, step: str) -> str:
+    return f"aggregate({parts}, {_STARTS}, (table, part) -> transform(table, so_far -> {step}))"
 
 
 def strict_transitions(
@@ -228,38 +215,39 @@ def strict_transitions(
         F.struct(
             F.col("seq").cast("bigint").alias("seq"),
             (lifecycle_rank(F.col("new_status")) - 1).alias("state"),
-        ).alias("u"),
+        ).alias("part"),
     )
-    slices = known.groupBy("order_id", "slice").agg(
-        F.array_sort(F.collect_list("u")).alias("parts")
-    ).select(
-        "order_id",
-        slice_of(F.col("slice"), bits).alias("block"),
-        F.struct("slice", _outcomes(F.col("parts"), _step).alias("moves")).alias("part"),
+    in_order = F.array_sort(F.collect_list("part")).alias("parts")
+    slices = (
+        known.groupBy("order_id", "slice")
+        .agg(in_order)
+        .select(
+            "order_id",
+            slice_of(F.col("slice"), bits).alias("block"),
+            F.expr(f"named_struct('at', slice, 'moves', {_outcomes('parts', _STEP)})").alias("part"),
+        )
     )
-    blocks = slices.groupBy("order_id", "block").agg(
-        F.array_sort(F.collect_list("part")).alias("parts")
-    ).select(
-        "order_id",
-        F.struct("block", _outcomes(F.col("parts"), _leap).alias("moves")).alias("part"),
+    blocks = (
+        slices.groupBy("order_id", "block")
+        .agg(in_order)
+        .selectExpr("order_id", f"named_struct('at', block, 'moves', {_outcomes('parts', _LEAP)}) as part")
     )
-    histories = blocks.groupBy("order_id").agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    start = lifecycle_rank(F.col("order_status")) - 1
+    histories = blocks.groupBy("order_id").agg(in_order)
+    start = (lifecycle_rank(F.col("order_status")) - 1).alias("start")
     played = (
-        orders.select("order_id", "order_status", start.alias("start"))
+        orders.select("order_id", F.col("order_status").alias("first_status"), start)
         .join(histories, "order_id", "left")
-        .select(
+        .selectExpr(
             "order_id",
-            F.col("order_status").alias("first_status"),
-            F.aggregate("parts", _standing_still(F.col("start")), _leap)["accepted"].alias("accepted_moves"),
+            "first_status",
+            f"aggregate(parts, {_standing_still('start')}, (so_far, part) -> {_LEAP}).accepted"
+            " as accepted_moves",
         )
     )
-    earlier = F.element_at(F.filter("accepted_moves", lambda m: m["seq"] < F.col("seq")), -1)
+    earlier = F.expr("try_element_at(filter(accepted_moves, m -> m.seq < seq), -1).state")
     names = F.array(*[F.lit(s) for s in ORDER_STATUSES])
-    standing = F.coalesce(F.get(names, earlier["state"]), F.col("first_status"))
-    accepted = F.coalesce(
-        F.exists("accepted_moves", lambda m: m["seq"] == F.col("seq")), F.lit(False)
-    )
+    standing = F.coalesce(F.get(names, earlier), F.col("first_status"))
+    accepted = F.expr("coalesce(exists(accepted_moves, m -> m.seq = seq), false)")
     new = F.coalesce("new_status", F.lit("NULL"))
     message = (
         F.when(F.col("first_status").isNull(), F.lit(NO_ORDER))

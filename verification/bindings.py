@@ -1,13 +1,13 @@
 """The given tables seen as the marketplace model.
 
 Columns the given tables lack are derived from their keys by plain arithmetic,
-so every table here grows with its source. ``model_sql`` states the same in SQL.
+so every table here grows with its source. ``model_sql`` states the same for
+another SQL engine, in whole cents.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # How codes of the given tables read in the model.
 PAYMENT_METHOD = {
@@ -27,123 +27,109 @@ EVENT_STATUS = {
 OPEN_STAGES = ("placed", "confirmed", "preparing", "ready_for_pickup", "out_for_delivery")
 
 
-def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a stream of its Parquet files."""
-    schema = _given(spark, sf_dir, name).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    return reader.parquet(sf_dir)
+def _case(column: str, mapping: dict[str, str]) -> str:
+    whens = " ".join(f"when '{code}' then '{meaning}'" for code, meaning in mapping.items())
+    return f"case {column} {whens} end"
 
 
-def _given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _amount(cents: str) -> str:
+    return f"cast(cast({cents} as decimal(12,0)) / 100 as decimal(10,2))"
 
 
-def _case(column: str, mapping: dict[str, str]) -> Column:
-    result = None
-    for code, meaning in mapping.items():
-        hit = F.col(column) == code
-        result = F.when(hit, meaning) if result is None else result.when(hit, meaning)
-    return result
+# Literal branches only: a filter on the status then folds to one the scan can take.
+_STATUS = (
+    "case when o_orderstatus = 'F' then 'delivered' when o_orderstatus = 'P' then 'cancelled' "
+    + " ".join(f"when o_orderkey % 5 = {i} then '{s}'" for i, s in enumerate(OPEN_STAGES[:-1]))
+    + f" else '{OPEN_STAGES[-1]}' end"
+)
+_TOTAL = "cast(round(o_totalprice * 100) as bigint)"
+_SUBTOTAL = f"((({_TOTAL} + (o_custkey % 5) * 500 - 3000) * 20 + 10) div 21)"
+_TAX = f"(({_SUBTOTAL} * 5 + 50) div 100)"
+_PLACED = "(o_orderdate + make_dt_interval(0, 0, cast(o_orderkey % 1440 as int)))"
+_AGENT = "case when o_orderkey % 10 <> 0 then o_custkey div 15 end"
+_CATEGORY = "(p_partkey div 20) * 100 + cast(substring(p_brand, 7) as bigint)"
 
 
-def _amount(cents: str) -> Column:
-    return F.expr(f"cast(cast({cents} as decimal(12,0)) / 100 as decimal(10,2))")
+def _given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table as a stream of its Parquet files."""
+    schema = _given(spark, sf_dir, name).schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    return reader.parquet(sf_dir)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _given(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("full_name"),
-        F.concat(F.lit("user"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email"),
-        F.expr(
-            "timestamp_ntz'1994-01-01 00:00:00' + make_dt_interval(cast(c_custkey % 900 as int))"
-        ).alias("created_at"),
+    return _given(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as customer_id",
+        "c_name as full_name",
+        "concat('user', c_custkey, '@example.com') as email",
+        "timestamp_ntz'1994-01-01 00:00:00' + make_dt_interval(cast(c_custkey % 900 as int)) as created_at",
     )
 
 
 def restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    return _given(spark, sf_dir, "supplier").select(
-        key.alias("restaurant_id"),
-        F.col("s_name").alias("name"),
-        F.concat(F.lit("CITY_"), F.col("s_nationkey").cast("string")).alias("city"),
-        F.expr("cast(cast(s_suppkey % 401 + 100 as decimal(5,0)) / 100 as decimal(3,2))").alias("avg_rating"),
-        F.expr("cast((s_suppkey % 14) * 3600 as int)").alias("opening_time"),
-        F.expr("cast((s_suppkey % 14 + 12) % 24 * 3600 as int)").alias("closing_time"),
-        (key % 10 != 0).cast("int").alias("is_active"),
-        F.expr("cast(12 + s_suppkey % 9 as decimal(5,2))").alias("commission_pct"),
+    return _given(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey as restaurant_id",
+        "s_name as name",
+        "concat('CITY_', s_nationkey) as city",
+        "cast(cast(s_suppkey % 401 + 100 as decimal(5,0)) / 100 as decimal(3,2)) as avg_rating",
+        "cast((s_suppkey % 14) * 3600 as int) as opening_time",
+        "cast((s_suppkey % 14 + 12) % 24 * 3600 as int) as closing_time",
+        "cast(s_suppkey % 10 <> 0 as int) as is_active",
+        "cast(12 + s_suppkey % 9 as decimal(5,2)) as commission_pct",
     )
 
 
 def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    return _given(spark, sf_dir, "supplier").select(
-        key.alias("agent_id"),
-        F.concat(F.lit("Agent "), key.cast("string")).alias("full_name"),
-        F.when(key % 3 == 0, "bike").when(key % 3 == 1, "bicycle").otherwise("scooter").alias("vehicle_type"),
-        F.expr("cast(cast(s_suppkey * 7 % 401 + 100 as decimal(5,0)) / 100 as decimal(3,2))").alias("avg_rating"),
-        (key % 4 != 0).cast("int").alias("is_available"),
-        (key % 6 != 0).cast("int").alias("is_active"),
+    return _given(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey as agent_id",
+        "concat('Agent ', s_suppkey) as full_name",
+        "case s_suppkey % 3 when 0 then 'bike' when 1 then 'bicycle' else 'scooter' end as vehicle_type",
+        "cast(cast(s_suppkey * 7 % 401 + 100 as decimal(5,0)) / 100 as decimal(3,2)) as avg_rating",
+        "cast(s_suppkey % 4 <> 0 as int) as is_available",
+        "cast(s_suppkey % 6 <> 0 as int) as is_active",
     )
 
 
 def menu_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _given(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("item_id"),
-        F.expr("p_partkey div 20").alias("restaurant_id"),
-        F.expr("(p_partkey div 20) * 100 + cast(substring(p_brand, 7) as bigint)").alias("category_id"),
-        F.col("p_name").alias("item_name"),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
-        (F.col("p_size") % 2).cast("int").alias("is_veg"),
+    return _given(spark, sf_dir, "part").selectExpr(
+        "p_partkey as item_id",
+        "p_partkey div 20 as restaurant_id",
+        f"{_CATEGORY} as category_id",
+        "p_name as item_name",
+        "cast(p_retailprice as decimal(10,2)) as price",
+        "cast(p_size % 2 as int) as is_veg",
     )
 
 
 def menu_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _given(spark, sf_dir, "part")
-        .select(
-            F.expr("(p_partkey div 20) * 100 + cast(substring(p_brand, 7) as bigint)").alias("category_id"),
-            F.expr("p_partkey div 20").alias("restaurant_id"),
-            F.col("p_brand").alias("category_name"),
-        )
-        .distinct()
+    categories = _given(spark, sf_dir, "part").selectExpr(
+        f"{_CATEGORY} as category_id", "p_partkey div 20 as restaurant_id", "p_brand as category_name"
     )
+    return categories.distinct()
 
 
 def orders_of(orders: DataFrame) -> DataFrame:
     """One model order per given order."""
-    # Literal branches only: a filter on the status then folds to one the scan can take.
-    status = F.when(F.col("o_orderstatus") == "F", "delivered").when(
-        F.col("o_orderstatus") == "P", "cancelled"
-    )
-    for place, stage in enumerate(OPEN_STAGES[:-1]):
-        status = status.when(F.col("o_orderkey") % 5 == place, stage)
-    status = status.otherwise(OPEN_STAGES[-1])
-    total = "cast(round(o_totalprice * 100) as bigint)"
-    subtotal = f"((({total} + (o_custkey % 5) * 500 - 3000) * 20 + 10) div 21)"
-    tax = f"(({subtotal} * 5 + 50) div 100)"
-    placed = "(o_orderdate + make_dt_interval(0, 0, cast(o_orderkey % 1440 as int)))"
-    return orders.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.expr("o_orderkey div 150").alias("restaurant_id"),
-        F.expr("case when o_orderkey % 10 <> 0 then o_custkey div 15 end").alias("agent_id"),
-        F.col("o_custkey").alias("delivery_address_id"),
-        status.alias("order_status"),
-        _amount(subtotal).alias("subtotal"),
-        F.lit("30.00").cast("decimal(10,2)").alias("delivery_fee"),
-        _amount(f"({subtotal} + 3000 + {tax} - {total})").alias("discount_amount"),
-        _amount(tax).alias("tax_amount"),
-        F.col("o_totalprice").cast("decimal(10,2)").alias("total_amount"),
-        F.expr(
-            f"case when o_orderkey % 13 <> 0 then {placed} + interval 45 minutes end"
-        ).alias("estimated_delivery"),
-        F.expr(placed).alias("placed_at"),
-        F.expr(
-            "case when o_orderstatus = 'F' and o_orderkey % 97 <> 0 then "
-            f"{placed} + make_dt_interval(0, 0, cast(15 + o_custkey % 60 as int), "
-            "cast(o_orderkey % 60 as decimal(8,6))) end"
-        ).alias("delivered_at"),
+    return orders.selectExpr(
+        "o_orderkey as order_id",
+        "o_custkey as customer_id",
+        "o_orderkey div 150 as restaurant_id",
+        f"{_AGENT} as agent_id",
+        "o_custkey as delivery_address_id",
+        f"{_STATUS} as order_status",
+        f"{_amount(_SUBTOTAL)} as subtotal",
+        "cast('30.00' as decimal(10,2)) as delivery_fee",
+        f"{_amount(f'({_SUBTOTAL} + 3000 + {_TAX} - {_TOTAL})')} as discount_amount",
+        f"{_amount(_TAX)} as tax_amount",
+        "cast(o_totalprice as decimal(10,2)) as total_amount",
+        f"case when o_orderkey % 13 <> 0 then {_PLACED} + interval 45 minutes end as estimated_delivery",
+        f"{_PLACED} as placed_at",
+        f"case when o_orderstatus = 'F' and o_orderkey % 97 <> 0 then {_PLACED} + make_dt_interval("
+        "0, 0, cast(15 + o_custkey % 60 as int), cast(o_orderkey % 60 as decimal(8,6))) end as delivered_at",
     )
 
 
@@ -153,66 +139,58 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def suborders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One model order row per order line, at the line's supplier; ``order_id`` repeats."""
-    lines = _given(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_suppkey").alias("restaurant_id"),
-        F.col("l_extendedprice").cast("decimal(10,2)").alias("total_amount"),
+    lines = _given(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey as order_id",
+        "l_suppkey as restaurant_id",
+        "cast(l_extendedprice as decimal(10,2)) as total_amount",
     )
     return lines.join(orders(spark, sf_dir).select("order_id", "order_status"), "order_id")
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("l_extendedprice").cast("decimal(10,2)")
-    return _given(spark, sf_dir, "lineitem").select(
-        F.expr("l_orderkey * 10 + l_linenumber").alias("order_item_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("item_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.round(price / F.col("l_quantity").cast("decimal(5,0)"), 2).cast("decimal(10,2)").alias("unit_price"),
-        price.alias("item_total"),
+    price = "cast(l_extendedprice as decimal(10,2))"
+    unit = f"round({price} / cast(l_quantity as decimal(5,0)), 2)"
+    return _given(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber as order_item_id",
+        "l_orderkey as order_id",
+        "l_partkey as item_id",
+        "cast(l_quantity as int) as quantity",
+        f"cast({unit} as decimal(10,2)) as unit_price",
+        f"{price} as item_total",
     )
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A payment for six orders in seven."""
-    refunded = (F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 2 == 0)
-    amount = F.col("o_totalprice").cast("decimal(10,2)")
+    amount = "cast(o_totalprice as decimal(10,2))"
+    refunded = "o_orderstatus = 'P' and o_orderkey % 2 = 0"
     return (
         _given(spark, sf_dir, "orders")
-        .filter(F.col("o_orderkey") % 7 != 0)
-        .select(
-            F.col("o_orderkey").alias("payment_id"),
-            F.col("o_orderkey").alias("order_id"),
-            _case("o_orderpriority", PAYMENT_METHOD).alias("payment_method"),
-            F.when(F.col("o_orderstatus") == "F", "success")
-            .when(F.col("o_orderstatus") == "O", "pending")
-            .when(refunded, "refunded")
-            .otherwise("failed")
-            .alias("payment_status"),
-            F.expr("case when o_orderstatus = 'F' then concat('REF', o_orderkey) end").alias("transaction_ref"),
-            amount.alias("amount"),
-            F.expr("case when o_orderstatus = 'F' then o_orderdate end").alias("paid_at"),
-            F.when(refunded, amount).otherwise(F.lit(0).cast("decimal(10,2)")).alias("refund_amount"),
+        .where("o_orderkey % 7 <> 0")
+        .selectExpr(
+            "o_orderkey as payment_id",
+            "o_orderkey as order_id",
+            f"{_case('o_orderpriority', PAYMENT_METHOD)} as payment_method",
+            "case when o_orderstatus = 'F' then 'success' when o_orderstatus = 'O' then 'pending' "
+            f"when {refunded} then 'refunded' else 'failed' end as payment_status",
+            "case when o_orderstatus = 'F' then concat('REF', o_orderkey) end as transaction_ref",
+            f"{amount} as amount",
+            "case when o_orderstatus = 'F' then o_orderdate end as paid_at",
+            f"case when {refunded} then {amount} else cast(0 as decimal(10,2)) end as refund_amount",
         )
     )
 
 
 def reviews_of(orders: DataFrame) -> DataFrame:
     """A review for two delivered orders in three; one in four gives no delivery rating."""
-    return (
-        orders
-        .filter((F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % 3 != 0))
-        .select(
-            F.col("o_orderkey").alias("review_id"),
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.expr("o_orderkey div 150").alias("restaurant_id"),
-            F.expr("case when o_orderkey % 10 <> 0 then o_custkey div 15 end").alias("agent_id"),
-            F.expr("cast(1 + o_custkey % 5 as int)").alias("food_rating"),
-            F.expr("case when o_orderkey % 4 <> 0 then cast(1 + o_orderkey % 5 as int) end").alias(
-                "delivery_rating"
-            ),
-        )
+    return orders.where("o_orderstatus = 'F' and o_orderkey % 3 <> 0").selectExpr(
+        "o_orderkey as review_id",
+        "o_orderkey as order_id",
+        "o_custkey as customer_id",
+        "o_orderkey div 150 as restaurant_id",
+        f"{_AGENT} as agent_id",
+        "cast(1 + o_custkey % 5 as int) as food_rating",
+        "case when o_orderkey % 4 <> 0 then cast(1 + o_orderkey % 5 as int) end as delivery_rating",
     )
 
 
@@ -221,33 +199,28 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coupons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("n_nationkey")
-    flat = k % 2 == 0
-    return _given(spark, sf_dir, "nation").select(
-        k.cast("bigint").alias("coupon_id"),
-        F.concat(F.lit("SAVE"), k.cast("string")).alias("code"),
-        F.when(flat, "flat").otherwise("percentage").alias("discount_type"),
-        F.when(flat, k + 50).otherwise(k + 5).cast("decimal(10,2)").alias("discount_value"),
-        (k * 10000).cast("decimal(10,2)").alias("min_order_value"),
-        F.when(k % 3 != 0, k + 1000).cast("decimal(10,2)").alias("max_discount"),
-        F.when(k % 4 != 0, k + 20).cast("bigint").alias("usage_limit"),
-        (k % 3).cast("bigint").alias("used_count"),
-        F.expr("date_add(date'1995-01-01', n_nationkey * 30)").alias("valid_from"),
-        F.expr("date_add(date'2000-01-01', n_nationkey * 20)").alias("valid_until"),
-        (k % 11 != 0).cast("int").alias("is_active"),
+    k = "n_nationkey"
+    return _given(spark, sf_dir, "nation").selectExpr(
+        f"cast({k} as bigint) as coupon_id",
+        f"concat('SAVE', {k}) as code",
+        f"if({k} % 2 = 0, 'flat', 'percentage') as discount_type",
+        f"cast({k} + if({k} % 2 = 0, 50, 5) as decimal(10,2)) as discount_value",
+        f"cast({k} * 10000 as decimal(10,2)) as min_order_value",
+        f"cast(case when {k} % 3 <> 0 then {k} + 1000 end as decimal(10,2)) as max_discount",
+        f"cast(case when {k} % 4 <> 0 then {k} + 20 end as bigint) as usage_limit",
+        f"cast({k} % 3 as bigint) as used_count",
+        f"date_add(date'1995-01-01', {k} * 30) as valid_from",
+        f"date_add(date'2000-01-01', {k} * 20) as valid_until",
+        f"cast({k} % 11 <> 0 as int) as is_active",
     )
 
 
 def order_coupons_of(orders: DataFrame) -> DataFrame:
     """One order in four used a coupon."""
-    return (
-        orders
-        .filter(F.col("o_orderkey") % 4 == 0)
-        .select(
-            F.col("o_orderkey").alias("order_id"),
-            F.expr("o_custkey % 25").alias("coupon_id"),
-            _amount("(o_orderkey % 5000)").alias("discount_applied"),
-        )
+    return orders.where("o_orderkey % 4 = 0").selectExpr(
+        "o_orderkey as order_id",
+        "o_custkey % 25 as coupon_id",
+        f"{_amount('(o_orderkey % 5000)')} as discount_applied",
     )
 
 
@@ -257,17 +230,17 @@ def order_coupons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshots_of(events: DataFrame) -> DataFrame:
     """A change feed without old images: each event sets its user's order to a status."""
-    amount = F.col("value").cast("decimal(10,2)")
-    return events.select(
-        F.col("event_id").alias("seq"),
-        F.col("user_id").alias("order_id"),
-        _case("event_type", EVENT_STATUS).alias("new_status"),
-        F.col("ts").alias("changed_at"),
-        amount.alias("subtotal"),
-        F.lit("0.00").cast("decimal(10,2)").alias("tax_amount"),
-        F.lit("30.00").cast("decimal(10,2)").alias("delivery_fee"),
-        F.lit("0.00").cast("decimal(10,2)").alias("discount_amount"),
-        (amount + F.lit("30.00").cast("decimal(10,2)")).cast("decimal(10,2)").alias("total_amount"),
+    amount = "cast(value as decimal(10,2))"
+    return events.selectExpr(
+        "event_id as seq",
+        "user_id as order_id",
+        f"{_case('event_type', EVENT_STATUS)} as new_status",
+        "ts as changed_at",
+        f"{amount} as subtotal",
+        "cast('0.00' as decimal(10,2)) as tax_amount",
+        "cast('30.00' as decimal(10,2)) as delivery_fee",
+        "cast('0.00' as decimal(10,2)) as discount_amount",
+        f"cast({amount} + 30 as decimal(10,2)) as total_amount",
     )
 
 
@@ -277,85 +250,73 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def imaged(feed: DataFrame) -> DataFrame:
     """The same feed with an old image on each row, for stateless use: derived from the row alone."""
-    old = F.get(
-        F.array(*[F.lit(s) for s in EVENT_STATUS.values()]), (F.col("seq") % 5).cast("int")
-    )
-    return feed.withColumn("old_status", old)
+    whens = " ".join(f"when {i} then '{s}'" for i, s in enumerate(EVENT_STATUS.values()))
+    return feed.selectExpr("*", f"case seq % 5 {whens} end as old_status")
 
 
 def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshots(spark, sf_dir).select(
-        F.col("seq").alias("log_id"), "order_id", F.col("new_status").alias("status"), "changed_at"
+    return snapshots(spark, sf_dir).selectExpr(
+        "seq as log_id", "order_id", "new_status as status", "changed_at"
     )
 
 
 def sla_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A limit per status seen in the log, longer for longer names."""
     seen = status_log(spark, sf_dir).select("status").distinct()
-    return seen.select("status", (F.length("status") * 60).cast("bigint").alias("limit_minutes"))
+    return seen.selectExpr("status", "cast(length(status) * 60 as bigint) as limit_minutes")
 
 
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _given(spark, sf_dir, "events").select(
-        F.col("event_id").alias("location_id"),
-        F.col("user_id").alias("agent_id"),
-        F.lit(None).cast("bigint").alias("order_id"),
-        F.expr("cast(17 + cast(event_id % 1000 as decimal(4,0)) / 1000 as decimal(10,8))").alias("latitude"),
-        F.expr("cast(78 + cast(event_id % 777 as decimal(4,0)) / 1000 as decimal(11,8))").alias("longitude"),
-        F.col("ts").alias("recorded_at"),
+    return _given(spark, sf_dir, "events").selectExpr(
+        "event_id as location_id",
+        "user_id as agent_id",
+        "cast(null as bigint) as order_id",
+        "cast(17 + cast(event_id % 1000 as decimal(4,0)) / 1000 as decimal(10,8)) as latitude",
+        "cast(78 + cast(event_id % 777 as decimal(4,0)) / 1000 as decimal(11,8)) as longitude",
+        "ts as recorded_at",
     )
 
 
 def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each given order asks to be placed; codes come in other case and with trailing blanks."""
-    code = (
-        "case o_orderkey % 3 when 0 then null "
-        "when 1 then concat('save', o_custkey % 30) else concat('Save', o_custkey % 30, ' ') end"
-    )
-    return _given(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("seq"),
-        F.col("o_custkey").alias("customer_id"),
-        F.expr("o_orderkey div 140").alias("restaurant_id"),
-        F.col("o_custkey").alias("address_id"),
-        _case("o_orderpriority", PAYMENT_METHOD).alias("payment_method"),
-        F.lit(None).cast("string").alias("special_notes"),
-        F.expr(code).alias("coupon_code"),
-        F.expr(
-            "o_orderdate + make_dt_interval(0, 0, cast(o_orderkey * 37 % 1440 as int))"
-        ).alias("requested_at"),
+    return _given(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as seq",
+        "o_custkey as customer_id",
+        "o_orderkey div 140 as restaurant_id",
+        "o_custkey as address_id",
+        f"{_case('o_orderpriority', PAYMENT_METHOD)} as payment_method",
+        "cast(null as string) as special_notes",
+        "case o_orderkey % 3 when 0 then null when 1 then concat('save', o_custkey % 30) "
+        "else concat('Save', o_custkey % 30, ' ') end as coupon_code",
+        "o_orderdate + make_dt_interval(0, 0, cast(o_orderkey * 37 % 1440 as int)) as requested_at",
     )
 
 
 def cart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_items(spark, sf_dir).select(
-        F.col("order_id").alias("seq"), "item_id", "quantity", "unit_price"
-    )
+    return order_items(spark, sf_dir).selectExpr("order_id as seq", "item_id", "quantity", "unit_price")
 
 
 def status_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three updates in a row per order, some for unknown orders, some with a note or an unknown status."""
-    status = F.when(F.col("event_id") % 50 == 7, "lost").otherwise(_case("event_type", EVENT_STATUS))
-    return _given(spark, sf_dir, "events").select(
-        F.col("event_id").alias("seq"),
-        F.expr("(event_id div 3) * 5").alias("order_id"),
-        status.alias("new_status"),
-        F.expr("case event_id % 4 when 0 then concat('note ', event_id) when 1 then '' end").alias("note"),
-        F.col("ts").alias("changed_at"),
+    return _given(spark, sf_dir, "events").selectExpr(
+        "event_id as seq",
+        "(event_id div 3) * 5 as order_id",
+        f"if(event_id % 50 = 7, 'lost', {_case('event_type', EVENT_STATUS)}) as new_status",
+        "case event_id % 4 when 0 then concat('note ', event_id) when 1 then '' end as note",
+        "ts as changed_at",
     )
 
 
 def confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _given(spark, sf_dir, "events").select(
-        F.col("event_id").alias("seq"),
-        F.expr("(event_id div 2) * 4").alias("order_id"),
-        F.concat(F.lit("TX"), F.col("event_id").cast("string")).alias("transaction_ref"),
-        F.col("ts").alias("confirmed_at"),
+    return _given(spark, sf_dir, "events").selectExpr(
+        "event_id as seq",
+        "(event_id div 2) * 4 as order_id",
+        "concat('TX', event_id) as transaction_ref",
+        "ts as confirmed_at",
     )
 
 
 def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _given(spark, sf_dir, "events").select(
-        F.col("event_id").alias("seq"),
-        F.expr("event_id div 2").alias("order_id"),
-        F.col("user_id").alias("agent_id"),
+    return _given(spark, sf_dir, "events").selectExpr(
+        "event_id as seq", "event_id div 2 as order_id", "user_id as agent_id"
     )
