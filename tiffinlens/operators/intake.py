@@ -144,15 +144,13 @@ def discount(subtotal: Column) -> Column:
 
 
 def priced_requests(
-    requests: DataFrame,
-    restaurants: DataFrame,
+    checked: DataFrame,
     coupons: DataFrame,
     cart: DataFrame | None = None,
     enforce_min_order: bool = False,
     bits: int = SLICE_BITS,
 ) -> DataFrame:
-    """Requests with open check, subtotal, coupon, discount, fee, tax and total."""
-    checked = open_requests(requests, restaurants)
+    """Open-checked requests with subtotal, coupon, discount, fee, tax and total."""
     if cart is None:
         filled = checked.withColumn("subtotal", _amount(_NO_DISCOUNT))
     else:
@@ -196,11 +194,14 @@ def place_orders(
     ``requests``: seq, customer_id, restaurant_id, address_id, payment_method,
     special_notes, coupon_code, requested_at. ``cart``: seq, item_id, quantity,
     unit_price; without it every subtotal is 0. Order ids follow ``seq`` without
-    gaps from ``first_order_id``. ``settle`` checkpoints the priced requests once
-    for the six results; leave it off when only one of them is used.
+    gaps from ``first_order_id``. ``settle`` checkpoints the checked and the priced
+    requests, which several results draw on; leave it off when only one is used.
     """
-    priced = priced_requests(requests, restaurants, coupons, cart, enforce_min_order, bits)
-    opened = open_requests(requests, restaurants).filter("is_open").select("seq")
+    checked = open_requests(requests, restaurants)
+    if settle:
+        checked = settle_frame(checked)
+    priced = priced_requests(checked, coupons, cart, enforce_min_order, bits)
+    opened = checked.filter("is_open").select("seq")
     numbers = running_sum_before(opened, "seq", F.lit(1), "earlier", bits=bits).select(
         "seq", (F.col("earlier") + F.lit(first_order_id)).alias("order_id")
     )

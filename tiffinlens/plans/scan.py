@@ -10,6 +10,9 @@ summary window more than 2**20, no block summary window more than 2**24,
 whatever the data look like. Summaries are partial aggregates, so little moves
 besides the one shuffle of the rows themselves.
 
+Rows are shuffled by key and slice explicitly. Left to itself, Spark would keep a
+partitioning by key alone, from a join before, and so keep a hot key in one task.
+
 ``rows`` is read twice (once for the rows, once pruned to the summary columns):
 settle an expensive input first.
 """
@@ -67,7 +70,8 @@ def running_sum_before(
     ).join(blocks, [*keys, "_block"])
     inside = F.sum("_amount").over(_earlier([*keys, "_slice"], position))
     zero = F.lit(0)
-    joined = sliced.withColumn("_inside", inside).join(carry.drop("_block"), [*keys, "_slice"])
+    spread = sliced.repartition(*keys, "_slice")
+    joined = spread.withColumn("_inside", inside).join(carry.drop("_block"), [*keys, "_slice"])
     result = joined.withColumn(
         out,
         F.coalesce("_inside", zero) + F.coalesce("_before_slice", zero) + F.coalesce("_before_block", zero),
@@ -113,7 +117,8 @@ def last_before(
     ).join(blocks, [*keys, "_block"])
     inside = F.last("_value", ignorenulls=True).over(_earlier([*keys, "_slice"], position))
     return (
-        sliced.withColumn("_inside", inside)
+        sliced.repartition(*keys, "_slice")
+        .withColumn("_inside", inside)
         .join(carry.drop("_block"), [*keys, "_slice"])
         .withColumn(out, F.coalesce("_inside", "_before_slice", "_before_block"))
         .drop("_slice", "_value", "_inside", "_before_slice", "_before_block")

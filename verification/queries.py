@@ -21,6 +21,7 @@ from tiffinlens.operators import (
     views,
 )
 from tiffinlens.plans.lineage import scratch_path
+from tiffinlens.session import tune
 from tiffinlens.streaming import feeds
 
 from . import bindings as b
@@ -315,7 +316,7 @@ QUERIES: dict[str, Query] = {
 
 
 def _compared(query: Query) -> Query:
-    return lambda spark, sf_dir: plain(query(spark, sf_dir))
+    return lambda spark, sf_dir: plain(query(tune(spark), sf_dir))
 
 
 def queries() -> dict[str, Query]:
