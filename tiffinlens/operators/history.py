@@ -198,8 +198,12 @@ def _outcomes(parts: str, step: str) -> str:
     return f"aggregate({parts}, {_STARTS}, (table, part) -> transform(table, so_far -> {step}))"
 
 
+# Updates replayed as one list: 2**18 at most, and as many lists to a block.
+LIST_BITS = 18
+
+
 def strict_transitions(
-    orders: DataFrame, updates: DataFrame, bits: int = SLICE_BITS
+    orders: DataFrame, updates: DataFrame, bits: int = LIST_BITS
 ) -> DataFrame:
     """Replies to updates when stages may not be skipped or reversed.
 

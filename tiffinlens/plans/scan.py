@@ -2,13 +2,12 @@
 
 ``sum().over(orderBy)`` with no partition puts every row in one task, and
 ``lag().over(partitionBy(key))`` puts a hot key in one task. Here the ordering
-key, a whole number, is cut into slices of 2**20 values and blocks of 2**20
-slices. A window runs inside each slice, a second one over slice summaries
-inside each block, a third one over block summaries. If the ordering key is
-unique within ``keys``, no slice window holds more than 2**20 rows, no slice
-summary window more than 2**20, no block summary window more than 2**24,
-whatever the data look like. Summaries are partial aggregates, so little moves
-besides the one shuffle of the rows themselves.
+key, a whole number unique within ``keys``, is cut into slices of 2**24 values.
+One window runs inside each slice, so over at most 2**24 rows whatever the data
+look like; a second one runs over one summary row per non-empty slice, at most
+2**24 rows while positions span less than 2**48 (a wider span costs time in
+that window, never rightness). Summaries are partial aggregates, so little
+moves besides the one shuffle of the rows themselves.
 
 Rows are shuffled by key and slice explicitly. Left to itself, Spark would keep a
 partitioning by key alone, from a join before, and so keep a hot key in one task.
@@ -24,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE_BITS = 20
+SLICE_BITS = 24
 
 
 def slice_of(position: Column, bits: int = SLICE_BITS) -> Column:
@@ -49,36 +48,23 @@ def running_sum_before(
     ``total`` names a further column with the sum over all rows of the keys.
     """
     keys = list(keys)
-    sliced = rows.withColumn("_slice", slice_of(F.col(position), bits)).withColumn("_amount", amount)
-    slices = (
-        sliced.groupBy(*keys, "_slice")
-        .agg(F.sum("_amount").alias("_part"))
-        .withColumn("_block", slice_of(F.col("_slice"), bits))
-    )
-    blocks = slices.groupBy(*keys, "_block").agg(F.sum("_part").alias("_part"))
-    blocks = blocks.select(
-        *keys,
-        "_block",
-        F.sum("_part").over(_earlier(keys, "_block")).alias("_before_block"),
-        F.sum("_part").over(Window.partitionBy(*keys)).alias("_total"),
-    )
+    sliced = rows.withColumns({"_slice": slice_of(F.col(position), bits), "_amount": amount})
+    slices = sliced.groupBy(*keys, "_slice").agg(F.sum("_amount").alias("_part"))
     carry = slices.select(
         *keys,
-        "_block",
         "_slice",
-        F.sum("_part").over(_earlier([*keys, "_block"], "_slice")).alias("_before_slice"),
-    ).join(blocks, [*keys, "_block"])
+        F.sum("_part").over(_earlier(keys, "_slice")).alias("_carry"),
+        F.sum("_part").over(Window.partitionBy(*keys)).alias(total or "_total"),
+    )
     inside = F.sum("_amount").over(_earlier([*keys, "_slice"], position))
     zero = F.lit(0)
-    spread = sliced.repartition(*keys, "_slice")
-    joined = spread.withColumn("_inside", inside).join(carry.drop("_block"), [*keys, "_slice"])
-    result = joined.withColumn(
-        out,
-        F.coalesce("_inside", zero) + F.coalesce("_before_slice", zero) + F.coalesce("_before_block", zero),
+    return (
+        sliced.repartition(*keys, "_slice")
+        .withColumn("_inside", inside)
+        .join(carry, [*keys, "_slice"])
+        .withColumn(out, F.coalesce("_inside", zero) + F.coalesce("_carry", zero))
+        .drop("_slice", "_amount", "_inside", "_carry", "_total")
     )
-    if total:
-        result = result.withColumn(total, F.col("_total"))
-    return result.drop("_slice", "_amount", "_inside", "_before_slice", "_before_block", "_total")
 
 
 def last_before(
@@ -91,37 +77,21 @@ def last_before(
 ) -> DataFrame:
     """Adds ``out``: the last non-NULL ``value`` among rows of the keys earlier by ``position``."""
     keys = list(keys)
-    sliced = rows.withColumn("_slice", slice_of(F.col(position), bits)).withColumn("_value", value)
-
-    def newest(column: str, order: str) -> Column:
-        return F.max_by(column, F.when(F.col(column).isNotNull(), F.col(order)))
-
-    slices = (
-        sliced.groupBy(*keys, "_slice")
-        .agg(newest("_value", position).alias("_part"))
-        .withColumn("_block", slice_of(F.col("_slice"), bits))
-    )
-    blocks = slices.groupBy(*keys, "_block").agg(newest("_part", "_slice").alias("_part"))
-    blocks = blocks.select(
-        *keys,
-        "_block",
-        F.last("_part", ignorenulls=True).over(_earlier(keys, "_block")).alias("_before_block"),
-    )
+    sliced = rows.withColumns({"_slice": slice_of(F.col(position), bits), "_value": value})
+    newest = F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(position)))
+    slices = sliced.groupBy(*keys, "_slice").agg(newest.alias("_part"))
     carry = slices.select(
         *keys,
-        "_block",
         "_slice",
-        F.last("_part", ignorenulls=True)
-        .over(_earlier([*keys, "_block"], "_slice"))
-        .alias("_before_slice"),
-    ).join(blocks, [*keys, "_block"])
+        F.last("_part", ignorenulls=True).over(_earlier(keys, "_slice")).alias("_carry"),
+    )
     inside = F.last("_value", ignorenulls=True).over(_earlier([*keys, "_slice"], position))
     return (
         sliced.repartition(*keys, "_slice")
         .withColumn("_inside", inside)
-        .join(carry.drop("_block"), [*keys, "_slice"])
-        .withColumn(out, F.coalesce("_inside", "_before_slice", "_before_block"))
-        .drop("_slice", "_value", "_inside", "_before_slice", "_before_block")
+        .join(carry, [*keys, "_slice"])
+        .withColumn(out, F.coalesce("_inside", "_carry"))
+        .drop("_slice", "_value", "_inside", "_carry")
     )
 
 
