@@ -202,17 +202,18 @@ def purge(
         for child, ref in _references(tables, name):
             if ref.cascade:
                 continue
-            child_key = list(TABLES[child].key)
-            users = (
-                tables[child]
-                .filter(F.col(ref.column).isNotNull())
-                .select(F.col(ref.column).alias("_key"), *[F.col(c).alias(f"_{c}") for c in child_key])
-            )
-            own = TABLES[name].key[0]
-            use = rows.select(F.col(own).alias("_key"), "root_key").join(users, "_key")
+            own = rows.select(F.col(TABLES[name].key[0]).alias("_key"), "root_key")
+            users = tables[child].filter(F.col(ref.column).isNotNull())
+            used = F.col(ref.column).alias("_key")
             if child in doomed:
-                going = doomed[child].select(*[F.col(c).alias(f"_{c}") for c in child_key], "root_key")
-                use = use.join(going, [*[f"_{c}" for c in child_key], "root_key"], "left_anti")
+                # A user that goes with the same root does not hold it.
+                child_key = {c: F.col(c).alias(f"_{c}") for c in TABLES[child].key}
+                going = doomed[child].select(*child_key.values(), "root_key")
+                use = own.join(users.select(used, *child_key.values()), "_key").join(
+                    going, [*[f"_{c}" for c in child_key], "root_key"], "left_anti"
+                )
+            else:
+                use = own.join(users.select(used).distinct(), "_key", "left_semi")
             held.append(use.select("root_key", F.lit(child).alias("held_by")))
     refused = reduce(DataFrame.unionByName, held).distinct() if held else None
     if refused is None:

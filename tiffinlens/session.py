@@ -10,6 +10,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast by checked size only: estimated from files (compressed, so taken three times),
+    # or measured once a side has been shuffled. Beyond it the join stays sort-merge.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "128MB",
     # Split a hot join partition even where the next step then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

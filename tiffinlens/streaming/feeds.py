@@ -101,12 +101,22 @@ def start_daily_kpi_recompute(
     checkpoint: str,
     **trigger,
 ) -> StreamingQuery:
-    """Exact daily rows for every day an arriving order touches, recomputed from the orders table."""
+    """Exact daily rows for every day an arriving order touches, recomputed from the orders table.
+
+    The first and last touched moment bound the read, so the scan skips files outside.
+    """
 
     def recompute(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         days = batch.select(F.to_date("placed_at").alias("order_date")).distinct()
-        orders = read_orders(spark).withColumn("order_date", F.to_date("placed_at"))
+        first, last = days.agg(F.min("order_date"), F.max("order_date")).first()
+        placed = F.col("placed_at")
+        orders = (
+            read_orders(spark)
+            .filter(placed >= F.lit(first).cast("timestamp_ntz"))
+            .filter(placed < F.date_add(F.lit(last), 1).cast("timestamp_ntz"))
+            .withColumn("order_date", F.to_date("placed_at"))
+        )
         touched = orders.join(days, "order_date", "left_semi").drop("order_date")
         daily_kpi(touched).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
 

@@ -47,7 +47,8 @@ def _case(column: str, mapping: dict[str, str]) -> str:
 
 
 def _amount(cents: str) -> str:
-    return f"cast(cast({cents} as decimal(12,0)) / 100 as decimal(10,2))"
+    # Exact: whole cents and their hundredth, rounded to two places, survive the double in between.
+    return f"cast({cents} / 100D as decimal(10,2))"
 
 
 # Literal branches only: a filter on the status then folds to one the scan can take.
@@ -161,15 +162,15 @@ def suborders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = "cast(l_extendedprice as decimal(10,2))"
-    unit = f"round({price} / cast(l_quantity as decimal(5,0)), 2)"
+    cents, quantity = "cast(round(l_extendedprice * 100) as bigint)", "cast(l_quantity as bigint)"
+    unit = f"((2 * {cents} + {quantity}) div (2 * {quantity}))"
     return _given(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey * 10 + l_linenumber as order_item_id",
         "l_orderkey as order_id",
         "l_partkey as item_id",
         "cast(l_quantity as int) as quantity",
-        f"cast({unit} as decimal(10,2)) as unit_price",
-        f"{price} as item_total",
+        f"{_amount(unit)} as unit_price",
+        "cast(l_extendedprice as decimal(10,2)) as item_total",
     )
 
 
