@@ -16,6 +16,7 @@ from ..functions.lifecycle import (
     is_status,
     lifecycle_rank,
 )
+from ..plans.joins import hot_lookup
 from ..plans.scan import SLICE_BITS, first_after, running_sum_before, slice_of
 from .customers import customer_values, segment_label
 from .intake import NO_ORDER
@@ -265,7 +266,7 @@ def strict_transitions(
         )
     )
     return (
-        updates.join(played, "order_id", "left")
+        hot_lookup(updates, played, "order_id")
         .withColumn("accepted", accepted)
         .withColumn("standing", standing)
         .select("seq", "order_id", "new_status", "accepted", message.alias("message"))

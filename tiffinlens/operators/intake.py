@@ -23,6 +23,7 @@ from ..functions.lifecycle import (
     entered,
     is_status,
 )
+from ..plans.joins import hot_lookup
 from ..plans.lineage import settle as settle_frame
 from ..plans.scan import SLICE_BITS, last_before, running_sum_before
 from .changefeed import upsert
@@ -303,7 +304,7 @@ def judge_updates(orders: DataFrame, updates: DataFrame) -> DataFrame:
         )
     )
     return (
-        updates.join(standing, "order_id", "left")
+        hot_lookup(updates, standing, "order_id")
         .withColumn("refusal", message)
         .withColumn("accepted", F.col("refusal").isNull())
         .withColumn(
@@ -400,7 +401,7 @@ def judge_confirmations(payments: DataFrame, confirmations: DataFrame) -> DataFr
         found.isNotNull(), F.concat(F.lit("Payment already "), found, F.lit("."))
     )
     return (
-        confirmations.join(standing, "order_id", "left")
+        hot_lookup(confirmations, standing, "order_id")
         .withColumn("refusal", message)
         .withColumn("accepted", F.col("refusal").isNull())
         .withColumn("message", F.coalesce("refusal", F.lit(PAYMENT_OK)))
@@ -480,7 +481,7 @@ def judge_assignments(agents: DataFrame, assignments: DataFrame) -> DataFrame:
         F.lit("."),
     )
     return (
-        assignments.join(standing, "agent_id", "left")
+        hot_lookup(assignments, standing, "agent_id")
         .withColumn("refusal", message)
         .withColumn("accepted", F.col("refusal").isNull())
         .withColumn("message", F.coalesce("refusal", done))

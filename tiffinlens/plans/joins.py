@@ -22,3 +22,20 @@ def left_lookup(rows: DataFrame, other: DataFrame, key: str, spread_by: str) ->
     left = rows.withColumn("_lookup", F.coalesce(F.col(key), never_matches))
     right = other.withColumnRenamed(key, "_lookup")
     return left.join(right, "_lookup", "left").drop("_lookup")
+
+
+def hot_lookup(rows: DataFrame, other: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """``rows`` joined to ``other``, which is unique on ``key`` and itself made by joins or groups on it.
+
+    Adaptive execution splits a hot partition only between two fresh shuffles. A
+    side that already lies partitioned by ``key`` would be joined in place, and a
+    plain repartition by the same key is optimized away. Joining on the key and its
+    hash asks for a partitioning neither side has, at the price of one more
+    shuffle of the unique side.
+    """
+    mark = F.xxhash64(key)
+    return (
+        rows.withColumn("_mark", mark)
+        .join(other.withColumn("_mark", mark), [key, "_mark"], how)
+        .drop("_mark")
+    )
