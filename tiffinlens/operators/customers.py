@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import money
 from ..functions.lifecycle import DELIVERED
+from ..plans.joins import few
 
 # The three segment labels.
 ONE_TIME = "One-time buyer"
@@ -114,7 +115,7 @@ def top_customers_ltv(customers: DataFrame, orders: DataFrame, n: int = 5) -> Da
     )
     return (
         customers.select("customer_id", "full_name", "email")
-        .join(F.broadcast(best), "customer_id")
+        .join(few(best, n), "customer_id")
         .select(
             "customer_id",
             "full_name",

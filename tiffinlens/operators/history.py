@@ -19,7 +19,7 @@ from ..functions.lifecycle import (
 from ..plans.joins import hot_lookup
 from ..plans.scan import SLICE_BITS, first_after, running_sum_before, slice_of
 from .customers import customer_values, segment_label
-from .intake import NO_ORDER
+from .intake import NO_ORDER, ORDER_ENDED, STATUS_OK
 
 
 def cohorts_by_registration(customers: DataFrame, orders: DataFrame) -> DataFrame:
@@ -103,11 +103,17 @@ def status_durations(log: DataFrame, bits: int = SLICE_BITS) -> DataFrame:
     )
 
 
+def _limits(limits: DataFrame) -> DataFrame:
+    """One limit per status of the lifecycle, the tightest: seven rows at most, so safe to broadcast."""
+    known = limits.filter(F.col("status").isin(*ORDER_STATUSES))
+    return F.broadcast(known.groupBy("status").agg(F.min("limit_minutes").alias("limit_minutes")))
+
+
 def sla_breaches(log: DataFrame, limits: DataFrame, bits: int = SLICE_BITS) -> DataFrame:
     """Finished stays longer than the status's limit (status, limit_minutes)."""
     return (
         status_durations(log, bits)
-        .join(limits, "status")
+        .join(_limits(limits), "status")
         .filter(F.col("minutes") > F.col("limit_minutes"))
         .select("log_id", "order_id", "status", "changed_at", "minutes", "limit_minutes")
     )
@@ -115,7 +121,7 @@ def sla_breaches(log: DataFrame, limits: DataFrame, bits: int = SLICE_BITS) -> D
 
 def sla_report(log: DataFrame, limits: DataFrame, bits: int = SLICE_BITS) -> DataFrame:
     """Per status with a limit: finished stays, breaches, breach percentage, mean and longest stay."""
-    stays = status_durations(log, bits).filter(F.col("minutes").isNotNull()).join(limits, "status")
+    stays = status_durations(log, bits).filter(F.col("minutes").isNotNull()).join(_limits(limits), "status")
     over = F.col("minutes") > F.col("limit_minutes")
     return (
         stays.groupBy("status", "limit_minutes")
@@ -256,10 +262,10 @@ def strict_transitions(
     new = F.coalesce("new_status", F.lit("NULL"))
     message = (
         F.when(F.col("first_status").isNull(), F.lit(NO_ORDER))
-        .when(F.col("accepted"), F.concat(F.lit("Status updated to "), new, F.lit(".")))
+        .when(F.col("accepted"), F.concat(F.lit(STATUS_OK), new, F.lit(".")))
         .when(
             F.col("standing").isin(*TERMINAL_STATUSES),
-            F.concat(F.lit("Cannot update. Order already "), F.col("standing"), F.lit(".")),
+            F.concat(F.lit(ORDER_ENDED), F.col("standing"), F.lit(".")),
         )
         .otherwise(
             F.concat(F.lit("Cannot move from "), F.col("standing"), F.lit(" to "), new, F.lit("."))

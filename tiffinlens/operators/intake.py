@@ -36,10 +36,17 @@ DELIVERY_PROMISE = "INTERVAL 45 MINUTES"
 CLOSED = "Restaurant is closed or inactive."
 PLACED_OK = "Order placed successfully. Order ID: "
 NO_ORDER = "Order not found."
+ORDER_ENDED = "Cannot update. Order already "
+STATUS_OK = "Status updated to "
 NO_PAYMENT = "Payment record not found."
+PAYMENT_DONE = "Payment already "
 PAYMENT_OK = "Payment confirmed and order status updated."
 NO_AGENT = "Agent not found or inactive."
 AGENT_BUSY = "Agent is currently unavailable."
+ASSIGNED_OK = "Agent %d assigned to order %d."
+
+# Ours: a store with a closed status domain would raise an error instead.
+UNKNOWN_STATUS = "Unknown status "
 
 _NO_DISCOUNT = "0.00"
 
@@ -297,10 +304,10 @@ def judge_updates(orders: DataFrame, updates: DataFrame) -> DataFrame:
     ).when(F.col("ending.seq") < F.col("seq"), F.col("ending.new_status"))
     message = (
         F.when(F.col("current_status").isNull(), F.lit(NO_ORDER))
-        .when(ended.isNotNull(), F.concat(F.lit("Cannot update. Order already "), ended, F.lit(".")))
+        .when(ended.isNotNull(), F.concat(F.lit(ORDER_ENDED), ended, F.lit(".")))
         .when(
             ~is_status(new, *ORDER_STATUSES),
-            F.concat(F.lit("Unknown status "), F.coalesce(new, F.lit("NULL")), F.lit(".")),
+            F.concat(F.lit(UNKNOWN_STATUS), F.coalesce(new, F.lit("NULL")), F.lit(".")),
         )
     )
     return (
@@ -309,7 +316,7 @@ def judge_updates(orders: DataFrame, updates: DataFrame) -> DataFrame:
         .withColumn("accepted", F.col("refusal").isNull())
         .withColumn(
             "message",
-            F.coalesce("refusal", F.concat(F.lit("Status updated to "), new, F.lit("."))),
+            F.coalesce("refusal", F.concat(F.lit(STATUS_OK), new, F.lit("."))),
         )
         .drop("refusal", "ending")
     )
@@ -398,7 +405,7 @@ def judge_confirmations(payments: DataFrame, confirmations: DataFrame) -> DataFr
         F.col("seq") > F.col("first_seq"), F.lit("success")
     )
     message = F.when(F.col("payment_status").isNull(), F.lit(NO_PAYMENT)).when(
-        found.isNotNull(), F.concat(F.lit("Payment already "), found, F.lit("."))
+        found.isNotNull(), F.concat(F.lit(PAYMENT_DONE), found, F.lit("."))
     )
     return (
         hot_lookup(confirmations, standing, "order_id")
@@ -473,13 +480,7 @@ def judge_assignments(agents: DataFrame, assignments: DataFrame) -> DataFrame:
     message = F.when(~usable, F.lit(NO_AGENT)).when(
         (F.col("is_available") == 0) | (F.col("seq") > F.col("first_seq")), F.lit(AGENT_BUSY)
     )
-    done = F.concat(
-        F.lit("Agent "),
-        F.col("agent_id").cast("string"),
-        F.lit(" assigned to order "),
-        F.col("order_id").cast("string"),
-        F.lit("."),
-    )
+    done = F.format_string(ASSIGNED_OK, "agent_id", "order_id")
     return (
         hot_lookup(assignments, standing, "agent_id")
         .withColumn("refusal", message)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import money
 from ..functions.lifecycle import DELIVERED
+from ..plans.joins import few
 
 
 def _delivered_ids(orders: DataFrame) -> DataFrame:
@@ -46,11 +47,11 @@ def top_items(
     """
     best = item_sales(order_items, orders).orderBy(F.desc("revenue"), "item_id").limit(n)
     items = menu_items.select("item_id", "item_name", "restaurant_id", "is_veg").join(
-        F.broadcast(best), "item_id"
+        few(best, n), "item_id"
     )
     names = restaurants.select("restaurant_id", F.col("name").alias("restaurant"))
     return (
-        names.join(F.broadcast(items), "restaurant_id")
+        names.join(few(items, n), "restaurant_id")
         .select(
             "item_id",
             "item_name",
@@ -148,7 +149,7 @@ def bought_together(order_items: DataFrame, anchors: int = 10) -> DataFrame:
         .orderBy(F.desc("anchor_orders"), "item_id")
         .limit(anchors)
     )
-    anchored = lines.join(F.broadcast(popular), "item_id").select(
+    anchored = lines.join(few(popular, anchors), "item_id").select(
         "order_id", F.col("item_id").alias("anchor_id"), "anchor_orders"
     )
     return (

@@ -1,6 +1,7 @@
 """Row-level lookups that stay even when keys are not.
 
-No broadcast hint appears here: Catalyst broadcasts a side only when its size,
+A broadcast hint is given only to results whose row count is known to be small
+(``few``). Otherwise Catalyst broadcasts a side only when its size,
 estimated or measured by adaptive execution, is under
 ``spark.sql.autoBroadcastJoinThreshold``, and falls back to a sort-merge join
 whose hot partitions adaptive execution splits. NULL keys can never match, yet
@@ -12,6 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+FEW_ROWS = 100_000
+
+
+def few(frame: DataFrame, rows: int) -> DataFrame:
+    """``frame``, known to hold at most ``rows`` rows, marked for broadcast if that is few."""
+    return F.broadcast(frame) if rows <= FEW_ROWS else frame
+
 
 def left_lookup(rows: DataFrame, other: DataFrame, key: str, spread_by: str) -> DataFrame:
     """``rows`` left join ``other`` on ``key`` (0 or more in both), NULL keys spread by ``spread_by``.

@@ -1,6 +1,6 @@
 """The data model: columns, keys, references and value rules of the 17 tables.
 
-MySQL-style enforcement on write has no Spark counterpart; ``operators.audits``
+Enforcement on write has no Spark counterpart; ``operators.audits``
 turns each rule here into a job that finds the rows breaking it.
 """
 

@@ -160,7 +160,7 @@ def _daily_kpi_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _purge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Erase every order that is neither paid, reviewed nor couponed; see what is left of its tables."""
+    """Ask to erase every third order: rows left per table, and orders held back per holding table."""
     tables = {
         name: frame
         for name, frame in _model(spark, sf_dir).items()
