@@ -264,7 +264,7 @@ def place_orders(
             "order_id bigint, item_id bigint, quantity int, unit_price decimal(10,2), item_total decimal(10,2)",
         )
     else:
-        lines = cart.join(numbered.select("seq", "order_id"), "seq").select(
+        lines = hot_lookup(cart, numbered.select("seq", "order_id"), "seq", "inner").select(
             "order_id",
             "item_id",
             "quantity",
