@@ -77,8 +77,8 @@ FROM documents d LEFT JOIN told t USING (doc_id)
 RULES = r"""
 WITH texts AS (
     SELECT doc_id, coalesce(text, '') AS text,
-           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS words,
-           list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
     FROM documents
 ), windows AS (
     SELECT doc_id, p, list_slice(words, p, p + 7) AS w
@@ -91,7 +91,7 @@ WITH texts AS (
     GROUP BY doc_id
 ), counted AS (
     SELECT t.doc_id, t.text, t.words, len(t.words)::BIGINT AS n_words, len(t.lines) AS n_lines,
-           coalesce(list_sum(list_transform(t.words, w -> length(w))), 0)::BIGINT AS word_chars,
+           coalesce(list_sum(list_transform(t.words, lambda w: length(w))), 0)::BIGINT AS word_chars,
            length(regexp_replace(t.text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
            (len(t.lines) - len(list_distinct(t.lines)))::BIGINT AS n_dup_lines,
            coalesce(c.n, 0)::BIGINT AS n_repeat_words
@@ -100,7 +100,7 @@ WITH texts AS (
     SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
            n_symbols > 0.1 * n_words OR n_dup_lines > 0.3 * n_lines
            OR word_chars < 2 * n_words OR word_chars > 15 * n_words
-           OR len(list_filter(words, w -> w = upper(w) AND w <> lower(w))) > 0.5 * n_words
+           OR len(list_filter(words, lambda w: w = upper(w) AND w <> lower(w))) > 0.5 * n_words
            OR len(regexp_extract_all(text, '[!?]{2,}')) > 0.1 * n_words AS bad
     FROM counted
 )
@@ -109,8 +109,55 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+WARC = r"""
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages
+), firsts AS (
+    SELECT html, min(page_id) AS first FROM payloads WHERE payload_bytes >= 100 GROUP BY html
+)
+SELECT p.page_id, p.payload_bytes, sha256(p.html) AS payload_digest,
+       CASE WHEN f.first <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to,
+       NULL::VARCHAR AS error
+FROM payloads p LEFT JOIN firsts f ON p.html = f.html
+"""
+
+CHAT = r"""
+WITH asked AS (
+    SELECT conv_id, turn, text, turn + turn % 2 AS place, 'call-' || turn AS call_id,
+           len(string_split(text, ' ')) AS words
+    FROM conversations WHERE role = 'user'
+), told AS (
+    SELECT conv_id, turn, text, 'call-' || (turn - 1) AS call_id FROM conversations WHERE role = 'assistant'
+), calls AS (
+    SELECT a.conv_id, a.place AS position, 0 AS step, a.place AS turn, 'tool_call' AS role, a.call_id,
+           CASE WHEN t.conv_id IS NULL THEN 'unanswered call'
+                WHEN a.text = '' THEN 'invalid arguments: $.question: too short'
+                WHEN a.words > 40 THEN 'invalid arguments: $.words: out of range'
+                ELSE 'ok' END AS status,
+           '{"role":"assistant","tool_calls":[{"arguments":{"question":' || to_json(a.text) || ',"words":' || a.words
+           || '},"id":' || to_json(a.call_id) || ',"name":"lookup"}]}' AS json
+    FROM asked a LEFT JOIN told t USING (conv_id, call_id)
+), results AS (
+    SELECT t.conv_id, greatest(t.turn, coalesce(a.place, t.turn)) AS position,
+           CASE WHEN a.place >= t.turn THEN 1 ELSE 0 END AS step, t.turn, 'tool' AS role, t.call_id,
+           CASE WHEN a.conv_id IS NULL THEN 'unknown call' ELSE 'ok' END AS status,
+           '{"content":' || to_json(t.text) || ',"role":"tool","tool_call_id":' || to_json(t.call_id) || '}' AS json
+    FROM told t LEFT JOIN asked a USING (conv_id, call_id)
+), plain AS (
+    SELECT conv_id, turn AS position, 0 AS step, turn, role, NULL::VARCHAR AS call_id, 'ok' AS status,
+           '{"content":' || to_json(text) || ',"role":' || to_json(role) || '}' AS json
+    FROM conversations
+), everything AS (
+    SELECT * FROM calls UNION ALL SELECT * FROM results UNION ALL SELECT * FROM plain
+)
+SELECT conv_id, position, step::BIGINT AS step, turn, role, call_id, status, json FROM everything
+"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINES,
     "op3_quality_rules": RULES,
     "op4_secret_scans": SECRETS,
+    "op6_warc": WARC,
+    "op10_chat_format": CHAT,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, quality, rules, secrets, simhash, tiling
+from . import bpe, htmltext, lines, quality, rules, secrets, simhash, tiling, toolchat, warc
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -69,6 +69,16 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error"
+    )
+
+
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extracted(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contaminated(
         _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark")
@@ -86,12 +96,68 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LOOKUP = {
+    "type": "object",
+    "properties": {
+        "words": {"type": "integer", "minimum": 1, "maximum": 40},
+        "question": {"type": "string", "minLength": 1},
+    },
+    "required": ["question", "words"],
+    "additionalProperties": False,
+}
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """The conversations with tool use in them: each user's turn calls ``lookup``, the turn after it is the result.
+
+    Both are logged in the order in which a busy log might have them: the call
+    of an odd turn a turn late, together with its result.
+    """
+    turn, asked = F.col("turn"), F.col("role") == "user"
+    call = F.struct(
+        F.concat(F.lit("call-"), turn.cast("string")).alias("id"),
+        F.lit("lookup").alias("name"),
+        F.to_json(
+            F.struct(F.col("text").alias("question"), F.size(F.split("text", " ")).alias("words"))
+        ).alias("arguments"),
+        F.array().cast("array<string>").alias("after"),
+    )
+    none = F.array().cast("array<struct<id:string,name:string,arguments:string,after:array<string>>>")
+    nothing = F.lit(None).cast("string")
+    plain = conversations.select("conv_id", "turn", "role", "text", none.alias("tool_calls"), nothing.alias("tool_call_id"))
+    calls = conversations.where(asked).select(
+        "conv_id",
+        (turn + turn % 2).alias("turn"),
+        F.lit("assistant").alias("role"),
+        nothing.alias("text"),
+        F.array(call).alias("tool_calls"),
+        nothing.alias("tool_call_id"),
+    )
+    results = conversations.where("role = 'assistant'").select(
+        "conv_id",
+        "turn",
+        F.lit("tool").alias("role"),
+        "text",
+        none.alias("tool_calls"),
+        F.concat(F.lit("call-"), (turn - 1).cast("string")).alias("tool_call_id"),
+    )
+    return plain.unionByName(calls).unionByName(results)
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return toolchat.formatted(tool_messages(conversations), {"lookup": LOOKUP})
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_quality_rules": op3_quality_rules,
     "op4_secret_scans": op4_secret_scans,
     "op5_simhash": op5_simhash,
+    "op6_warc": op6_warc,
+    "op7_main_text": op7_main_text,
     "op8_decontamination": op8_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_chat_format": op10_chat_format,
 }
