@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tiffinlens.plans.scan import first_after, last_before, running_sum_before
+from tiffinlens.plans.scan import first_after, last_before, levels, running_sum_before, slice_of
 
 
 def make(spark, seed, n=400, keys=3, spread=5000):
@@ -60,3 +60,32 @@ def test_slices_survive_an_earlier_partitioning_by_key(spark):
     keyed = frame.join(spark.range(3).withColumnRenamed("id", "k"), "k")
     plan = last_before(keyed, "p", F.col("s"), "o", ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "_slice" in plan[plan.index("REPARTITION_BY_COL") - 200 : plan.index("REPARTITION_BY_COL")]
+
+
+def rows_per_task(frame):
+    """Rows read by each task of the widest window stage: what no key or id may make large."""
+    return [r["count"] for r in frame.groupBy(F.spark_partition_id()).count().collect()]
+
+
+@pytest.mark.parametrize("spread", [1, 1 << 20, 1 << 40])
+def test_no_window_meets_more_than_a_slice(spark, spread):
+    """Dense, sparse and time-based ids: summaries of any level are few per window."""
+    n = 150_000 if spread == 1 else 3000
+    frame = spark.range(n).select((F.col("id") * spread).alias("p"))
+    per_slice = frame.groupBy(slice_of(F.col("p"))).count()
+    assert per_slice.agg(F.max("count")).first()[0] <= 1 << 16
+    for low, high in zip(levels(), [*levels()[1:], 63]):
+        summaries = frame.select(slice_of(F.col("p"), low).alias("s"), slice_of(F.col("p"), high).alias("up")).distinct()
+        assert summaries.groupBy("up").count().agg(F.max("count")).first()[0] <= 1 << 16
+    got = running_sum_before(frame, "p", F.lit(1), "before")
+    assert got.where(F.col("before") != F.col("p") / spread).count() == 0
+
+
+def test_numbering_uses_several_tasks(spark):
+    frame = spark.range(150_000).withColumnRenamed("id", "p")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = rows_per_task(frame.withColumn("s", slice_of(F.col("p"))).repartition("s"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(tasks) < 150_000

@@ -17,7 +17,7 @@ from ..functions.lifecycle import (
     lifecycle_rank,
 )
 from ..plans.joins import hot_lookup
-from ..plans.scan import SLICE_BITS, first_after, running_sum_before, slice_of
+from ..plans.scan import LEVEL_BITS, SLICE_BITS, first_after, levels, running_sum_before, slice_of
 from .customers import customer_values, segment_label
 from .intake import NO_ORDER, ORDER_ENDED, STATUS_OK
 
@@ -205,20 +205,17 @@ def _outcomes(parts: str, step: str) -> str:
     return f"aggregate({parts}, {_STARTS}, (table, part) -> transform(table, so_far -> {step}))"
 
 
-# Updates replayed as one list: 2**18 at most, and as many lists to a block.
-LIST_BITS = 18
-
-
 def strict_transitions(
-    orders: DataFrame, updates: DataFrame, bits: int = LIST_BITS
+    orders: DataFrame, updates: DataFrame, bits: int = SLICE_BITS
 ) -> DataFrame:
     """Replies to updates when stages may not be skipped or reversed.
 
     Replaying an order is sequential, but a run of updates is a function from
     starting stage to final stage, and such functions compose. So updates are
-    replayed in bounded slices of ``seq`` for every starting stage, slices are
-    composed in bounded blocks, and blocks per order. An order accepts at most six
-    updates, so the lists carried along stay tiny.
+    replayed in slices of ``seq`` for every starting stage, and slices composed
+    level by level as in ``plans.scan``: 2**16 to a list at most, however dense or
+    sparse ``seq`` is. An order accepts at most six updates, so the lists carried
+    along stay tiny.
     """
     known = updates.filter(is_status(F.col("new_status"), *ORDER_STATUSES)).select(
         "order_id",
@@ -229,21 +226,20 @@ def strict_transitions(
         ).alias("part"),
     )
     in_order = F.array_sort(F.collect_list("part")).alias("parts")
-    slices = (
-        known.groupBy("order_id", "slice")
-        .agg(in_order)
-        .select(
-            "order_id",
-            slice_of(F.col("slice"), bits).alias("block"),
-            F.expr(f"named_struct('at', slice, 'moves', {_outcomes('parts', _STEP)})").alias("part"),
+    step = _STEP
+    for _ in levels(bits):
+        known = (
+            known.groupBy("order_id", "slice")
+            .agg(in_order)
+            .select(
+                "order_id",
+                slice_of(F.col("slice"), LEVEL_BITS).alias("up"),
+                F.expr(f"named_struct('at', slice, 'moves', {_outcomes('parts', step)})").alias("part"),
+            )
+            .withColumnRenamed("up", "slice")
         )
-    )
-    blocks = (
-        slices.groupBy("order_id", "block")
-        .agg(in_order)
-        .selectExpr("order_id", f"named_struct('at', block, 'moves', {_outcomes('parts', _LEAP)}) as part")
-    )
-    histories = blocks.groupBy("order_id").agg(in_order)
+        step = _LEAP
+    histories = known.groupBy("order_id").agg(in_order)
     start = (lifecycle_rank(F.col("order_status")) - 1).alias("start")
     played = (
         orders.select("order_id", F.col("order_status").alias("first_status"), start)

@@ -2,12 +2,12 @@
 
 ``sum().over(orderBy)`` with no partition puts every row in one task, and
 ``lag().over(partitionBy(key))`` puts a hot key in one task. Here the ordering
-key, a whole number unique within ``keys``, is cut into slices of 2**24 values.
-One window runs inside each slice, so over at most 2**24 rows whatever the data
-look like; a second one runs over one summary row per non-empty slice, at most
-2**24 rows while positions span less than 2**48 (a wider span costs time in
-that window, never rightness). Summaries are partial aggregates, so little
-moves besides the one shuffle of the rows themselves.
+key, a 64-bit whole number unique within ``keys``, is read digit by digit. Rows
+that share all but the last 16 bits are a slice, slices that share all but
+their last 16 bits are a slice of the next level, and so on to the top. Every
+window runs inside one slice, so over 2**16 rows at most, and so does the last
+one over the top level: dense, sparse and time-based ids alike. Above the rows,
+only one summary per slice moves.
 
 Rows are shuffled by key and slice explicitly. Left to itself, Spark would keep a
 partitioning by key alone, from a join before, and so keep a hot key in one task.
@@ -18,12 +18,19 @@ settle an expensive input first.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE_BITS = 24
+SLICE_BITS = 16
+LEVEL_BITS = 16
+POSITION_BITS = 64
+
+
+def levels(bits: int = SLICE_BITS) -> list[int]:
+    """How far a position is shifted to name its slice, from the rows' slices up to the top level."""
+    return list(range(bits, POSITION_BITS, LEVEL_BITS))
 
 
 def slice_of(position: Column, bits: int = SLICE_BITS) -> Column:
@@ -34,6 +41,40 @@ def _earlier(keys: Sequence[str], order: str):
     return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _carried(
+    slices: DataFrame,
+    keys: list[str],
+    bits: int,
+    gather: Callable[[str], Column],
+    running: Callable[[str], Column],
+    joined: Callable[[Column, Column], Column],
+) -> DataFrame:
+    """keys, _slice, _carry: what all earlier slices of the keys come to.
+
+    ``slices`` has one row (_slice, _part) per slice of the rows. ``gather``
+    makes a slice's part from those of its slices, which have their place in
+    _slice; ``running`` runs over parts before a row, ``joined`` adds what comes
+    from above to it.
+    """
+    stages = [slices]
+    for _ in levels(bits)[1:]:
+        up = stages[-1].withColumn("_up", slice_of(F.col("_slice"), LEVEL_BITS))
+        stages.append(up.groupBy(*keys, "_up").agg(gather("_slice").alias("_part")).withColumnRenamed("_up", "_slice"))
+    top = stages.pop()
+    carry = top.select(*keys, "_slice", running("_part").over(_earlier(keys, "_slice")).alias("_carry"))
+    while stages:
+        above = carry.withColumnRenamed("_slice", "_up").withColumnRenamed("_carry", "_above")
+        inside = running("_part").over(_earlier([*keys, "_up"], "_slice"))
+        carry = (
+            stages.pop()
+            .withColumn("_up", slice_of(F.col("_slice"), LEVEL_BITS))
+            .withColumn("_inside", inside)
+            .join(above, [*keys, "_up"])
+            .select(*keys, "_slice", joined(F.col("_inside"), F.col("_above")).alias("_carry"))
+        )
+    return carry
+
+
 def running_sum_before(
     rows: DataFrame,
     position: str,
@@ -48,22 +89,27 @@ def running_sum_before(
     ``total`` names a further column with the sum over all rows of the keys.
     """
     keys = list(keys)
+    zero = F.lit(0)
     sliced = rows.withColumns({"_slice": slice_of(F.col(position), bits), "_amount": amount})
     slices = sliced.groupBy(*keys, "_slice").agg(F.sum("_amount").alias("_part"))
-    carry = slices.select(
-        *keys,
-        "_slice",
-        F.sum("_part").over(_earlier(keys, "_slice")).alias("_carry"),
-        F.sum("_part").over(Window.partitionBy(*keys)).alias(total or "_total"),
+    carry = _carried(
+        slices,
+        keys,
+        bits,
+        lambda place: F.sum("_part"),
+        F.sum,
+        lambda inside, above: F.coalesce(inside, zero) + F.coalesce(above, zero),
     )
+    if total:
+        sums = slices.groupBy(*keys).agg(F.sum("_part").alias(total))
+        carry = carry.join(sums, keys) if keys else carry.withColumn(total, sums.scalar())
     inside = F.sum("_amount").over(_earlier([*keys, "_slice"], position))
-    zero = F.lit(0)
     return (
         sliced.repartition(*keys, "_slice")
         .withColumn("_inside", inside)
         .join(carry, [*keys, "_slice"])
         .withColumn(out, F.coalesce("_inside", zero) + F.coalesce("_carry", zero))
-        .drop("_slice", "_amount", "_inside", "_carry", "_total")
+        .drop("_slice", "_amount", "_inside", "_carry")
     )
 
 
@@ -78,14 +124,16 @@ def last_before(
     """Adds ``out``: the last non-NULL ``value`` among rows of the keys earlier by ``position``."""
     keys = list(keys)
     sliced = rows.withColumns({"_slice": slice_of(F.col(position), bits), "_value": value})
-    newest = F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(position)))
-    slices = sliced.groupBy(*keys, "_slice").agg(newest.alias("_part"))
-    carry = slices.select(
-        *keys,
-        "_slice",
-        F.last("_part", ignorenulls=True).over(_earlier(keys, "_slice")).alias("_carry"),
-    )
-    inside = F.last("_value", ignorenulls=True).over(_earlier([*keys, "_slice"], position))
+
+    def newest(what: str, place: str) -> Column:
+        return F.max_by(what, F.when(F.col(what).isNotNull(), F.col(place)))
+
+    def last(what: str) -> Column:
+        return F.last(what, ignorenulls=True)
+
+    slices = sliced.groupBy(*keys, "_slice").agg(newest("_value", position).alias("_part"))
+    carry = _carried(slices, keys, bits, lambda place: newest("_part", place), last, F.coalesce)
+    inside = last("_value").over(_earlier([*keys, "_slice"], position))
     return (
         sliced.repartition(*keys, "_slice")
         .withColumn("_inside", inside)
