@@ -45,16 +45,42 @@ def test_status_log(spark, changes, tmp_path):
 def test_invoices_are_issued_once_across_batches_and_restarts(spark, changes, tmp_path):
     stream = in_files(changes, str(tmp_path / "in"))
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
-    finish(feeds.start_invoices(stream, out, checkpoint, delay="1 minute"))
+    finish(feeds.start_invoices(stream, out, checkpoint))
     want = {r.order_id for r in changefeed.new_invoices(changes).collect()}
     got = [r.order_id for r in spark.read.parquet(out).collect()]
     assert len(got) == len(set(got)) and set(got) == want
     changes.limit(50).write.mode("append").parquet(str(tmp_path / "in"))
-    feeds.start_invoices(stream, out, checkpoint, delay="1 minute").awaitTermination()
+    feeds.start_invoices(stream, out, checkpoint).awaitTermination()
     again = [r.order_id for r in spark.read.parquet(out).collect()]
     assert sorted(again) == sorted(got)
 
 
+def test_late_and_repeated_deliveries_lose_no_invoice(spark, changes, tmp_path):
+    """Files in turn: a delivery, one days earlier, a repeat of the first, two of one order with the newer first."""
+    one = changes.filter("new_status = 'delivered'").limit(1)
+
+    def delivery(seq, order, day):
+        return one.selectExpr(
+            f"cast({seq} as bigint) as seq", f"cast({order} as bigint) as order_id", "new_status",
+            f"timestamp_ntz'2024-01-{day:02d} 10:00:00' as changed_at", f"cast({seq} as decimal(10,2)) as subtotal",
+            "tax_amount", "delivery_fee", "discount_amount", "total_amount", "'placed' as old_status",
+        )
+
+    files = [
+        delivery(1, 1, 10),
+        delivery(2, 2, 2),
+        delivery(3, 1, 11).union(delivery(4, 3_000_000, 1)),
+        delivery(6, 5, 9).union(delivery(5, 5, 3)).coalesce(1),
+    ]
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    for frame in files:
+        frame.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(files[0].schema).parquet(str(tmp_path / "in"))
+        feeds.start_invoices(stream, out, checkpoint).awaitTermination()
+    everything = files[0].union(files[1]).union(files[2]).union(files[3])
+    same(spark.read.parquet(out).drop("version", "orders_from"), changefeed.new_invoices(everything))
+
+
 def test_running_ratings(spark, tmp_path):
     reviews = b.reviews(spark, SMALL)
     stream = in_files(reviews, str(tmp_path / "in"))
@@ -78,16 +104,21 @@ def test_coupon_uses(spark, tmp_path):
 
 
 def test_daily_view(spark, tmp_path):
+    """Files that mix all days, a customer's orders among them: nothing comes too late."""
     orders = b.orders(spark, SMALL)
     stream = in_files(orders, str(tmp_path / "in"))
     out = str(tmp_path / "out")
-    # The files mix all days, so the watermark must reach back over all of them.
-    rows = feeds.daily_kpi_stream(stream, delay="4000 days")
-    finish(feeds.start_versioned(rows, out, str(tmp_path / "c")))
-    same(
-        feeds.latest(spark, out, "order_date").drop("unique_customers"),
-        daily_kpi(orders).drop("unique_customers"),
-    )
+    finish(feeds.start_versioned(feeds.daily_customer_stream(stream), out, str(tmp_path / "c")))
+    same(feeds.daily_kpi_of(feeds.latest(spark, out, "order_date", "customer_id")), daily_kpi(orders))
+
+
+def test_compacted_versions_read_the_same(spark, tmp_path):
+    rows = [(1, "a", 0), (2, "b", 0), (1, "c", 1)]
+    path, to = str(tmp_path / "v"), str(tmp_path / "base")
+    spark.createDataFrame(rows, "k long, x string, version int").write.partitionBy("version").parquet(path)
+    feeds.compact(spark, path, to, "k")
+    assert {(r.k, r.x, r.version) for r in spark.read.parquet(to).collect()} == {(1, "c", 1), (2, "b", 1)}
+    same(feeds.latest(spark, to, "k"), feeds.latest(spark, path, "k"))
 
 
 def test_daily_view_exact(spark, tmp_path):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,16 +15,19 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (a local run, a test) is a temporary
-    folder of this machine used.
+    Only a local master may do without the setting: a temporary folder of this
+    machine is then made, and removed when the process ends.
     """
-    folder = spark.conf.get(CHECKPOINT_CONF, None)
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    return tempfile.mkdtemp(prefix="tiffinlens-")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="tiffinlens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.conf.set(CHECKPOINT_CONF, folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -10,12 +10,13 @@ or a path of the caller's.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import money, time
+from ..functions import money
 from ..functions.lifecycle import CANCELLED, DELIVERED, count_if, entered
 from ..operators import changefeed
 from ..operators.views import daily_kpi
@@ -26,30 +27,37 @@ def status_log_stream(changes: DataFrame) -> DataFrame:
     return changefeed.status_log(changes)
 
 
-def deliveries_stream(changes: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Changes into delivered, one per order within the watermark span."""
-    return (
-        changes.filter(entered(F.col("old_status"), F.col("new_status"), DELIVERED))
-        .withColumn("event_time", time.event_time(F.col("changed_at")))
-        .withWatermark("event_time", delay)
-        .dropDuplicatesWithinWatermark(["order_id"])
-        .drop("event_time")
-    )
+# Invoices are stored by ranges of this many order ids, so a micro-batch reads the ranges it touches.
+INVOICE_RANGE = 1 << 20
 
 
-def start_invoices(
-    changes: DataFrame, path: str, checkpoint: str, delay: str = "1 day", **trigger
-) -> StreamingQuery:
-    """Appends due invoices to ``path``. The anti-join covers repeats older than the watermark."""
+def start_invoices(changes: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Appends due invoices to ``path``: the earliest delivery of each order in a micro-batch, if not issued before.
+
+    No watermark and no state: however late a delivery comes, its invoice is
+    issued, and what is already issued is found in the stored invoices. Of those
+    only the ranges between the batch's lowest and highest order are read.
+    """
 
     def issue(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        existing = _table_or_none(spark, path, batch_id)
-        changefeed.new_invoices(batch, existing).write.mode("overwrite").parquet(
-            f"{path}/version={batch_id}"
-        )
-
-    return _start(deliveries_stream(changes, delay), issue, checkpoint, "append", trigger)
+        due = changefeed.new_invoices(batch)
+        if batch_id > 0:
+            ends = due.agg(F.min("order_id").alias("low"), F.max("order_id").alias("high")).first()
+            issued = spark.read.schema("order_id bigint, version int, orders_from bigint").parquet(path)
+            issued = issued.filter(F.col("version") < batch_id)
+            if ends["low"] is not None:
+                issued = issued.filter(
+                    F.col("orders_from").between(
+                        ends["low"] - ends["low"] % INVOICE_RANGE, ends["high"] - ends["high"] % INVOICE_RANGE
+                    )
+                )
+            due = due.join(issued.select("order_id"), "order_id", "left_anti")
+        start = (F.col("order_id") - F.pmod("order_id", F.lit(INVOICE_RANGE))).alias("orders_from")
+        due.select("*", start).write.mode("overwrite").partitionBy("orders_from").parquet(f"{path}/version={batch_id}")
+
+    deliveries = changes.filter(entered(F.col("old_status"), F.col("new_status"), DELIVERED))
+    return _start(deliveries, issue, checkpoint, "append", trigger)
 
 
 def rating_totals_stream(reviews: DataFrame, key: str, rating: str) -> DataFrame:
@@ -62,25 +70,29 @@ def coupon_uses_stream(order_coupons: DataFrame) -> DataFrame:
     return order_coupons.groupBy("coupon_id").agg(F.count("*").alias("uses"))
 
 
-def daily_kpi_stream(orders: DataFrame, delay: str = "2 days") -> DataFrame:
-    """The daily view over tumbling one-day windows; orders later than the watermark are dropped.
+def daily_customer_stream(orders: DataFrame) -> DataFrame:
+    """Running sums per day and customer: whole numbers and amounts that add up, so no order comes too late.
 
-    An exact distinct count is not possible over an unbounded stream, so customers
-    are counted by a sketch. ``start_daily_kpi_recompute`` gives exact days.
-    Orders carry the status they have on arrival.
+    State holds one row per customer and day; ``daily_kpi_of`` makes the exact
+    daily view of its latest rows. Orders carry the status they have on arrival.
     """
     delivered = F.col("order_status") == DELIVERED
+    return orders.groupBy(F.to_date("placed_at").alias("order_date"), "customer_id").agg(
+        F.count("*").alias("total_orders"),
+        count_if(delivered).alias("delivered"),
+        count_if(F.col("order_status") == CANCELLED).alias("cancelled"),
+        F.sum(F.when(delivered, F.col("total_amount"))).alias("revenue"),
+        F.count(F.when(delivered, F.col("total_amount"))).alias("amounts"),
+    )
+
+
+def daily_kpi_of(rows: DataFrame) -> DataFrame:
+    """The daily view from the latest rows of ``daily_customer_stream``."""
     return (
-        orders.withColumn("event_time", time.event_time(F.col("placed_at")))
-        .withWatermark("event_time", delay)
-        .groupBy(F.window("event_time", "1 day"), F.to_date("placed_at").alias("order_date"))
+        rows.groupBy("order_date")
         .agg(
-            F.count("*").alias("total_orders"),
-            count_if(delivered).alias("delivered"),
-            count_if(F.col("order_status") == CANCELLED).alias("cancelled"),
-            F.sum(F.when(delivered, F.col("total_amount"))).alias("revenue"),
-            F.count(F.when(delivered, F.col("total_amount"))).alias("amounts"),
-            F.approx_count_distinct("customer_id").alias("unique_customers"),
+            *[F.sum(c).alias(c) for c in ("total_orders", "delivered", "cancelled", "revenue", "amounts")],
+            F.count("customer_id").alias("unique_customers"),
         )
         .select(
             "order_date",
@@ -94,6 +106,10 @@ def daily_kpi_stream(orders: DataFrame, delay: str = "2 days") -> DataFrame:
     )
 
 
+# Touched days that are named one by one in the filter; beyond, their span is read and days are joined.
+NAMED_DAYS = 64
+
+
 def start_daily_kpi_recompute(
     arrivals: DataFrame,
     read_orders: Callable[[SparkSession], DataFrame],
@@ -103,26 +119,34 @@ def start_daily_kpi_recompute(
 ) -> StreamingQuery:
     """Exact daily rows for every day an arriving order touches, recomputed from the orders table.
 
-    The first and last touched moment bound the read, so the scan skips files outside.
+    Touched days become ranges in the filter, so the scan skips files of other
+    days; of very many days the span is read instead.
     """
 
     def recompute(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         days = batch.select(F.to_date("placed_at").alias("order_date")).distinct()
-        first, last = days.agg(F.min("order_date"), F.max("order_date")).first()
-        placed = F.col("placed_at")
-        orders = (
-            read_orders(spark)
-            .filter(placed >= F.lit(first).cast("timestamp_ntz"))
-            .filter(placed < F.date_add(F.lit(last), 1).cast("timestamp_ntz"))
-            .withColumn("order_date", F.to_date("placed_at"))
-        )
-        touched = orders.join(days, "order_date", "left_semi").drop("order_date")
+        named = [row.order_date for row in days.limit(NAMED_DAYS + 1).collect()]
+        orders = read_orders(spark)
+        if len(named) <= NAMED_DAYS:
+            inside = [_on(day) for day in named if day is not None] or [F.lit(False)]
+            touched = orders.filter(reduce(lambda a, b: a | b, inside))
+        else:
+            first, last = days.agg(F.min("order_date"), F.max("order_date")).first()
+            span = orders.filter(_on(first, last)).withColumn("order_date", F.to_date("placed_at"))
+            touched = span.join(days, "order_date", "left_semi").drop("order_date")
         daily_kpi(touched).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
 
     return _start(arrivals, recompute, checkpoint, "append", trigger)
 
 
+def _on(first, last=None) -> Column:
+    """``placed_at`` within the days from ``first`` to ``last``."""
+    placed = F.col("placed_at")
+    start = F.lit(first).cast("timestamp_ntz")
+    return (placed >= start) & (placed < F.date_add(F.lit(last or first), 1).cast("timestamp_ntz"))
+
+
 def start_versioned(rows: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Writes the rows each micro-batch changed under ``path``; read them back with ``latest``."""
 
@@ -149,11 +173,14 @@ def latest(spark: SparkSession, path: str, *keys: str) -> DataFrame:
     )
 
 
-def _table_or_none(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """What earlier batches wrote; the batch itself is left out in case it is being run again."""
-    if batch_id == 0:
-        return None
-    return spark.read.parquet(path).filter(F.col("version") < batch_id)
+def compact(spark: SparkSession, path: str, to: str, *keys: str) -> None:
+    """Writes the newest version of every key as one base version under ``to``, for readers to go on from.
+
+    ``to`` takes the number of the newest version read, so versions of later
+    micro-batches, written or moved beside it, still win in ``latest``.
+    """
+    newest = spark.read.parquet(path).agg(F.max("version")).first()[0]
+    latest(spark, path, *keys).write.mode("overwrite").parquet(f"{to}/version={newest}")
 
 
 def _start(rows: DataFrame, each, checkpoint: str, mode: str, trigger: dict) -> StreamingQuery:
