@@ -301,3 +301,39 @@ def test_settled_and_unsettled_batches_agree(spark):
         left, right = getattr(a, name), getattr(b, name)
         assert sorted(map(str, left.collect())) == sorted(map(str, right.collect())), name
     assert a.orders.agg(F.max("order_id")).first()[0] == a.orders.count()
+
+
+def test_updates_lead_to_invoices_and_noted_logs(spark):
+    """The chain from updates to invoices, and notes on new and on earlier log rows."""
+    orders = spark.createDataFrame(
+        [(1, "placed", 10, 5, 30, 0, 45), (2, "delivered", 20, 1, 30, 0, 51), (3, "placed", 7, 1, 30, 0, 38)],
+        "order_id bigint, order_status string, subtotal int, tax_amount int, delivery_fee int, "
+        "discount_amount int, total_amount int",
+    ).withColumn("delivered_at", F.lit(None).cast("timestamp_ntz"))
+    when = F.lit("2024-05-01 10:00:00").cast("timestamp_ntz")
+    updates = spark.createDataFrame(
+        [
+            (1, 1, "placed", "on hold"),  # no change: belongs to the row logged before
+            (2, 1, "confirmed", "called"),
+            (3, 1, "confirmed", "called again"),
+            (4, 1, "delivered", None),
+            (5, 3, "placed", "only a note"),
+            (6, 2, "placed", "refused"),
+        ],
+        "seq bigint, order_id bigint, new_status string, note string",
+    ).withColumn("changed_at", when)
+    log = spark.createDataFrame(
+        [(10, 1, None), (11, 1, "old"), (12, 2, None), (13, 3, None)], "log_id bigint, order_id bigint, note string"
+    )
+    result = intake.apply_status_updates(orders, updates)
+    assert [(r.order_id, r.grand_total) for r in changefeed.new_invoices(result.changes).collect()] == [(1, 45)]
+    assert {(r.seq, r.status, r.note) for r in result.log.collect()} == {
+        (2, "confirmed", "called again"),
+        (4, "delivered", None),
+    }
+    assert {(r.log_id, r.note) for r in intake.annotate_log(log, result.notes).collect()} == {
+        (10, None),
+        (11, "on hold"),
+        (12, None),
+        (13, "only a note"),
+    }

@@ -101,6 +101,30 @@ def test_top_customer_ties_go_to_the_lower_id(spark):
     assert [r[0] for r in rows(customers.top_customers_ltv(t["customers"], o, n=1))] == [2]
 
 
+def test_orphans_take_no_place_in_top_lists(spark):
+    t = seed(spark)
+    o = orders(
+        spark,
+        """order_id customer_id order_status total_amount placed_at
+        1 77 delivered 90.00 2024-01-01T00:00:00
+        2 78 delivered 80.00 2024-01-01T00:00:00
+        3 2 delivered 10.00 2024-01-01T00:00:00
+        4 3 delivered 20.00 2024-01-01T00:00:00""",
+    )
+    assert [r[0] for r in rows(customers.top_customers_ltv(t["customers"], o, n=2))] == [3, 2]
+    lines = t["order_items"].unionByName(
+        t["order_items"].selectExpr(
+            *[f"item_id + 1000 as {c}" if c == "item_id" else f"{c} * 9 as {c}" if c == "item_total" else c
+              for c in t["order_items"].columns]
+        )
+    )
+    known = rows(menu.top_items(t["order_items"], t["menu_items"], t["restaurants"], t["orders"]))
+    assert len(known) == 10
+    assert rows(menu.top_items(lines, t["menu_items"], t["restaurants"], t["orders"])) == known
+    closed = t["restaurants"].filter("restaurant_id <> 4")
+    assert len(rows(menu.top_items(lines, t["menu_items"], closed, t["orders"]))) == 10
+
+
 def test_punctuality(spark):
     o = orders(
         spark,
@@ -316,7 +340,7 @@ def test_purge_follows_cascades_and_refuses_held_rows(spark):
     assert left["menu_items"].filter("restaurant_id = 1").count() == 6
 
 
-def test_bought_together_counts_every_partner(spark):
+def test_bought_together_finds_every_frequent_pair(spark):
     lines = frame(
         spark,
         "order_items",
@@ -330,8 +354,10 @@ def test_bought_together_counts_every_partner(spark):
         3 1
         4 3""",
     )
-    got = {(r[0], r[1]): r[2:] for r in rows(menu.bought_together(lines, anchors=1))}
-    assert got == {(1, 2): (2, "66.67"), (1, 3): (1, "33.33")}
+    got = {(r[0], r[1]): r[2:] for r in rows(menu.bought_together(lines))}
+    assert got == {(1, 2): (2, "66.67")}
+    got = {(r[0], r[1]): r[2:] for r in rows(menu.bought_together(lines, min_orders=1))}
+    assert got == {(1, 2): (2, "66.67"), (1, 3): (1, "33.33"), (2, 3): (1, "50.00")}
 
 
 def test_category_performance(spark):
@@ -419,10 +445,10 @@ def test_partitions_and_buckets(spark, tmp_path):
 
 def test_insert_absent_twice_is_once(spark):
     a = spark.createDataFrame([(1,)], "k bigint")
-    b = spark.createDataFrame([(1,), (2,), (2,)], "k bigint")
-    once = sources.insert_absent(a, b, "k")
-    assert rows(once) == [(2,)]
-    assert sources.insert_absent(a.union(once), b, "k").count() == 0
+    b = spark.createDataFrame([(1, 0, "x"), (2, 9, "later"), (2, 5, "first")], "k bigint, n int, s string")
+    once = sources.insert_absent(a, b, "k", "n")
+    assert rows(once) == [(2, 5, "first")]
+    assert sources.insert_absent(a.union(once.select("k")), b, "k", "n").count() == 0
 
 
 def test_views_can_be_queried(spark):

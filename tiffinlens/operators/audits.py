@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import money
-from ..schemas import COLLATED_KEYS, TABLES
+from ..schemas import COLLATED_KEYS, SUBTOTAL_TAX, TABLES
 
 ANY_CASE = "UNICODE_CI_AI_RTRIM"
 
@@ -150,7 +150,7 @@ def line_total_problems(order_items: DataFrame) -> DataFrame:
     return order_items.filter(F.col("item_total") != F.col("quantity") * F.col("unit_price"))
 
 
-def order_total_problems(orders: DataFrame, tax_rate: str = "0.05") -> DataFrame:
+def order_total_problems(orders: DataFrame, tax_rate: str = SUBTOTAL_TAX) -> DataFrame:
     """Orders whose total or tax does not follow from the other amounts."""
     expected = (
         F.col("subtotal") + F.col("delivery_fee") + F.col("tax_amount") - F.col("discount_amount")
@@ -192,7 +192,8 @@ def purge(
 
     Children that cascade go with their parent. A row is kept, together with everything
     above it, when a row that does not cascade still refers to it or to a row that
-    would go with it. Refusals list the root keys held back so.
+    would go with it. Refusals list the root keys held back so. What would go is
+    worked out once, for all that was asked, and cut down to what is granted.
     """
     key = TABLES[root].key[0]
     asked = erase.select(F.col(key).alias("root_key")).distinct()
@@ -219,7 +220,7 @@ def purge(
     if refused is None:
         refused = asked.select("root_key", F.lit(None).cast("string").alias("held_by")).limit(0)
     granted = asked.join(refused.select("root_key"), "root_key", "left_anti")
-    gone = _doomed(tables, root, tables[root], granted, key)
+    gone = {name: rows.join(granted, "root_key", "left_semi") for name, rows in doomed.items()}
     left = {}
     for name, table in tables.items():
         if name not in gone:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import money
 from ..functions.lifecycle import DELIVERED
-from ..plans.joins import few
 
 # The three segment labels.
 ONE_TIME = "One-time buyer"
@@ -98,10 +97,10 @@ def repeat_purchase_gap(orders: DataFrame) -> DataFrame:
 def top_customers_ltv(customers: DataFrame, orders: DataFrame, n: int = 5) -> DataFrame:
     """The n customers with the highest delivered value; ties go to the lower id.
 
-    The cut is made before names are joined, which needs ``customer_id`` to be a
-    sound foreign key (audit it first). The joined side is then n rows.
+    Orders shrink to one row per customer, customers are joined to those, and
+    the cut comes last: a reference that points nowhere takes no place in the list.
     """
-    best = (
+    values = (
         orders.filter(F.col("order_status") == DELIVERED)
         .groupBy("customer_id")
         .agg(
@@ -110,12 +109,12 @@ def top_customers_ltv(customers: DataFrame, orders: DataFrame, n: int = 5) -> Da
             F.count("total_amount").alias("amounts"),
             F.max("placed_at").alias("last_order_date"),
         )
-        .orderBy(F.desc("value"), "customer_id")
-        .limit(n)
     )
     return (
         customers.select("customer_id", "full_name", "email")
-        .join(few(best, n), "customer_id")
+        .join(values, "customer_id")
+        .orderBy(F.desc("value"), "customer_id")
+        .limit(n)
         .select(
             "customer_id",
             "full_name",
@@ -125,5 +124,4 @@ def top_customers_ltv(customers: DataFrame, orders: DataFrame, n: int = 5) -> Da
             money.mean(F.col("value"), F.col("amounts")).alias("avg_order_value"),
             "last_order_date",
         )
-        .orderBy(F.desc("lifetime_value"), "customer_id")
     )

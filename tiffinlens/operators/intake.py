@@ -26,10 +26,10 @@ from ..functions.lifecycle import (
 from ..plans.joins import hot_lookup
 from ..plans.lineage import settle as settle_frame
 from ..plans.scan import SLICE_BITS, last_before, running_sum_before
-from .changefeed import upsert
+from ..schemas import SUBTOTAL_TAX
+from .changefeed import status_log, upsert
 
 # Charges and replies.
-TAX_RATE = "0.05"
 DELIVERY_FEE = "30.00"
 UNCAPPED_DISCOUNT = "9999"
 DELIVERY_PROMISE = "INTERVAL 45 MINUTES"
@@ -175,7 +175,7 @@ def priced_requests(
         .withColumn("discount_amount", discount(subtotal))
         .withColumn("delivery_fee", _amount(DELIVERY_FEE))
         .withColumn(
-            "tax_amount", F.round(subtotal * F.lit(TAX_RATE).cast("decimal(3,2)"), 2).cast(money.MONEY)
+            "tax_amount", F.round(subtotal * F.lit(SUBTOTAL_TAX).cast("decimal(3,2)"), 2).cast(money.MONEY)
         )
         .withColumn(
             "total_amount",
@@ -280,10 +280,15 @@ class StatusUpdates:
 
     orders: DataFrame
     changes: DataFrame
+    log: DataFrame
     notes: DataFrame
     replies: DataFrame
 
 
+# Columns of an order that its invoice repeats.
+BILLED = ("subtotal", "tax_amount", "delivery_fee", "discount_amount", "total_amount")
+
+
 def judge_updates(orders: DataFrame, updates: DataFrame) -> DataFrame:
     """Adds ``accepted`` and ``message`` to updates (seq, order_id, new_status, note, changed_at).
 
@@ -296,7 +301,8 @@ def judge_updates(orders: DataFrame, updates: DataFrame) -> DataFrame:
         .groupBy("order_id")
         .agg(F.min(F.struct("seq", "new_status")).alias("ending"))
     )
-    standing = orders.select("order_id", F.col("order_status").alias("current_status")).join(
+    billed = [c for c in BILLED if c in orders.columns]
+    standing = orders.select("order_id", F.col("order_status").alias("current_status"), *billed).join(
         first_end, "order_id", "left"
     )
     ended = F.when(
@@ -351,13 +357,33 @@ def placed_notes(changes: DataFrame, bits: int = SLICE_BITS) -> DataFrame:
     )
 
 
+def noted_log(changes: DataFrame, notes: DataFrame) -> DataFrame:
+    """New log rows (seq, order_id, status, changed_at, note) with the notes that end on them."""
+    mine = notes.filter(F.col("log_seq").isNotNull()).select(F.col("log_seq").alias("seq"), "note")
+    return status_log(changes).join(mine, "seq", "left")
+
+
+def annotate_log(log: DataFrame, notes: DataFrame) -> DataFrame:
+    """The next version of the log before the batch: notes without a new row go to each order's newest.
+
+    ``log`` has log_id, order_id and note; an order without any row takes no note.
+    """
+    newest = log.groupBy("order_id").agg(F.max("log_id").alias("log_id"))
+    late = notes.filter(F.col("log_seq").isNull()).select("order_id", F.col("note").alias("_note"))
+    placed = newest.join(late, "order_id").select("log_id", "_note")
+    return log.join(placed, "log_id", "left").select(
+        *[F.coalesce("_note", "note").alias(c) if c == "note" else F.col(c) for c in log.columns]
+    )
+
+
 def apply_status_updates(
     orders: DataFrame, updates: DataFrame, settle: bool = True, bits: int = SLICE_BITS
 ) -> StatusUpdates:
-    """New order versions, the change feed, note placements and replies.
+    """New order versions, the change feed, log rows with their notes, note placements and replies.
 
-    ``delivered_at`` is set where an update enters delivered. Feed ``changes`` to
-    ``changefeed.status_log`` and ``changefeed.new_invoices``.
+    ``delivered_at`` is set where an update enters delivered. ``changes`` carries
+    the orders' amounts: feed it to ``changefeed.new_invoices``, and ``notes`` to
+    ``annotate_log`` for orders whose newest log row is an earlier one.
     """
     judged = judge_updates(orders, updates)
     if settle:
@@ -381,7 +407,10 @@ def apply_status_updates(
         ]
     )
     replies = judged.select("seq", "order_id", "accepted", "message")
-    return StatusUpdates(updated, changes, placed_notes(changes, bits), replies)
+    notes = placed_notes(changes, bits)
+    if settle:
+        notes = settle_frame(notes)
+    return StatusUpdates(updated, changes, noted_log(changes, notes), notes, replies)
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import money
 from ..functions.lifecycle import DELIVERED
-from ..plans.joins import few
 
 
 def _delivered_ids(orders: DataFrame) -> DataFrame:
@@ -42,16 +41,17 @@ def top_items(
 ) -> DataFrame:
     """The n items with the highest delivered revenue; ties go to the lower id.
 
-    The average unit price is per order line. The cut comes before the name
-    joins, which needs ``item_id`` and ``restaurant_id`` to be sound foreign keys.
+    The average unit price is per order line. Lines shrink to one row per item
+    before names are joined, and the cut comes last: items or restaurants that are
+    missing take no place in the list.
     """
-    best = item_sales(order_items, orders).orderBy(F.desc("revenue"), "item_id").limit(n)
-    items = menu_items.select("item_id", "item_name", "restaurant_id", "is_veg").join(
-        few(best, n), "item_id"
-    )
     names = restaurants.select("restaurant_id", F.col("name").alias("restaurant"))
     return (
-        names.join(few(items, n), "restaurant_id")
+        menu_items.select("item_id", "item_name", "restaurant_id", "is_veg")
+        .join(item_sales(order_items, orders), "item_id")
+        .join(names, "restaurant_id")
+        .orderBy(F.desc("revenue"), "item_id")
+        .limit(n)
         .select(
             "item_id",
             "item_name",
@@ -61,7 +61,6 @@ def top_items(
             money.mean(F.col("prices"), F.col("prices_n")).alias("avg_unit_price"),
             F.when(F.col("is_veg") == 1, F.lit("Veg")).otherwise(F.lit("Non-Veg")).alias("type"),
         )
-        .orderBy(F.desc("total_revenue"), "item_id")
     )
 
 
@@ -134,35 +133,30 @@ def category_performance(
     ).orderBy(F.desc("total_revenue"), "category_name")
 
 
-def bought_together(order_items: DataFrame, anchors: int = 10) -> DataFrame:
-    """For the items in most orders, every other item and the orders holding both.
+def bought_together(order_items: DataFrame, min_orders: int = 2) -> DataFrame:
+    """Every pair of items that ``min_orders`` orders or more hold, with the share of the first's orders.
 
-    Counting all pairs of a basket grows with its square. This reads lines
-    against a fixed number of anchor items instead, so the work is at most
-    ``anchors`` rows per line, and nothing is capped: each anchor's partners are
-    complete, and as many anchors as wanted can be asked for.
+    An item in fewer orders is in no such pair, so its lines go before baskets are
+    paired: no qualifying pair is lost. A basket's lines meet by a join on the
+    order, and a basket with very many lines is a skewed partition that adaptive
+    execution splits over tasks.
     """
     lines = order_items.select("order_id", "item_id").distinct()
-    popular = (
-        lines.groupBy("item_id")
-        .agg(F.count("*").alias("anchor_orders"))
-        .orderBy(F.desc("anchor_orders"), "item_id")
-        .limit(anchors)
-    )
-    anchored = lines.join(few(popular, anchors), "item_id").select(
-        "order_id", F.col("item_id").alias("anchor_id"), "anchor_orders"
+    frequent = lines.groupBy("item_id").agg(F.count("*").alias("item_orders")).filter(
+        F.col("item_orders") >= min_orders
     )
+    kept = lines.join(frequent, "item_id")
+    others = kept.select("order_id", F.col("item_id").alias("other_id"))
     return (
-        anchored.join(lines, "order_id")
-        .filter(F.col("item_id") != F.col("anchor_id"))
-        .groupBy("anchor_id", "anchor_orders", F.col("item_id").alias("partner_id"))
+        kept.join(others, "order_id")
+        .filter(F.col("item_id") < F.col("other_id"))
+        .groupBy("item_id", "item_orders", "other_id")
         .agg(F.count("*").alias("orders_together"))
+        .filter(F.col("orders_together") >= min_orders)
         .select(
-            "anchor_id",
-            "partner_id",
+            "item_id",
+            "other_id",
             "orders_together",
-            money.percent_of_count(F.col("orders_together"), F.col("anchor_orders")).alias(
-                "pct_of_anchor_orders"
-            ),
+            money.percent_of_count(F.col("orders_together"), F.col("item_orders")).alias("pct_of_item_orders"),
         )
     )

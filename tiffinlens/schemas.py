@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 from .functions import lifecycle as life
 
+# Fixed value: tax as a share of the subtotal.
 SUBTOTAL_TAX = "0.05"
 
 
@@ -208,4 +209,4 @@ TABLES: dict[str, Table] = {
 }
 
 # The texts matched whatever their case, accents and trailing blanks when keys are audited.
-COLLATED_KEYS = frozenset({"email", "code", "cuisine_name"})
+COLLATED_KEYS = frozenset({"email", "phone", "code", "cuisine_name", "transaction_ref", "invoice_number"})

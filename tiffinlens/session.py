@@ -21,7 +21,8 @@ SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Applies SETTINGS to the session and returns it."""
+    """Applies those of SETTINGS that the caller has not set, and returns the session."""
     for name, value in SETTINGS.items():
-        spark.conf.set(name, value)
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
     return spark

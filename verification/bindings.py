@@ -80,6 +80,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey as customer_id",
         "c_name as full_name",
         "concat('user', c_custkey, '@example.com') as email",
+        "case when c_acctbal >= 0 then concat('+91 ', c_custkey div 2) end as phone",
         "timestamp_ntz'1994-01-01 00:00:00' + make_dt_interval(cast(c_custkey % 900 as int)) as created_at",
     )
 
@@ -175,29 +176,94 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A payment for six orders in seven."""
+    """A payment for every order."""
     amount = "cast(o_totalprice as decimal(10,2))"
     refunded = "o_orderstatus = 'P' and o_orderkey % 2 = 0"
-    return (
-        _given(spark, sf_dir, "orders")
-        .where("o_orderkey % 7 <> 0")
-        .selectExpr(
-            "o_orderkey as payment_id",
-            "o_orderkey as order_id",
-            f"{_case('o_orderpriority', PAYMENT_METHOD)} as payment_method",
-            "case when o_orderstatus = 'F' then 'success' when o_orderstatus = 'O' then 'pending' "
-            f"when {refunded} then 'refunded' else 'failed' end as payment_status",
-            "case when o_orderstatus = 'F' then concat('REF', o_orderkey) end as transaction_ref",
-            f"{amount} as amount",
-            "case when o_orderstatus = 'F' then o_orderdate end as paid_at",
-            f"case when {refunded} then {amount} else cast(0 as decimal(10,2)) end as refund_amount",
-        )
+    return _given(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as payment_id",
+        "o_orderkey as order_id",
+        f"{_case('o_orderpriority', PAYMENT_METHOD)} as payment_method",
+        "case when o_orderstatus = 'F' then 'success' when o_orderstatus = 'O' then 'pending' "
+        f"when {refunded} then 'refunded' else 'failed' end as payment_status",
+        "case when o_orderstatus = 'F' then concat('REF', o_orderkey) end as transaction_ref",
+        f"{amount} as amount",
+        "case when o_orderstatus = 'F' then o_orderdate end as paid_at",
+        f"case when {refunded} then {amount} else cast(0 as decimal(10,2)) end as refund_amount",
+    )
+
+
+def payments_made(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments as reports meet them where some are missing: nobody pays cash for a failed delivery."""
+    return payments(spark, sf_dir).where("payment_method <> 'cod' or payment_status <> 'failed'")
+
+
+def collected_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments as the till has them: cash comes in whole units, halves up."""
+    return payments(spark, sf_dir).selectExpr(
+        "payment_id",
+        "order_id",
+        "cast(if(payment_method = 'cod', round(amount), amount) as decimal(10,2)) as amount",
+    )
+
+
+def billed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a till bills them that cuts the tax to whole cents instead of rounding it."""
+    cut = "cast(floor(subtotal * 5) / 100 as decimal(10,2))"
+    kept = orders(spark, sf_dir).selectExpr("*", f"{cut} as cut_tax").drop("tax_amount")
+    return kept.withColumnRenamed("cut_tax", "tax_amount")
+
+
+def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An invoice per delivered order, its total printed to one place."""
+    return _given(spark, sf_dir, "orders").where("o_orderstatus = 'F'").selectExpr(
+        "o_orderkey as invoice_id",
+        "o_orderkey as order_id",
+        "concat('inv-', lower(o_orderpriority), '-', o_custkey) as invoice_number",
+        f"cast({_TOTAL} div 10 / 10D as decimal(10,2)) as grand_total",
+        "o_orderdate as issued_at",
+    )
+
+
+def customer_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One address per customer; the line is unknown where nothing was ever paid in."""
+    return _given(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as address_id",
+        "c_custkey + c_nationkey as customer_id",
+        "case when c_acctbal >= 0 then concat('Street ', c_nationkey) end as address_line1",
+    )
+
+
+def cuisines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cuisine per nation; names repeat but for their case."""
+    return _given(spark, sf_dir, "nation").selectExpr(
+        "cast(n_nationkey as bigint) as cuisine_id",
+        "if(n_nationkey % 2 = 0, upper(substring(n_name, 1, 6)), lower(substring(n_name, 1, 6))) as cuisine_name",
+    )
+
+
+def restaurant_cuisines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _given(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey as restaurant_id", "cast(s_nationkey + s_suppkey % 3 as bigint) as cuisine_id"
+    )
+
+
+def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews as an app sends them, ratings unchecked: one per event."""
+    return _given(spark, sf_dir, "events").selectExpr(
+        "event_id as review_id",
+        "user_id as order_id",
+        "user_id as customer_id",
+        "user_id div 15 as restaurant_id",
+        "cast(null as bigint) as agent_id",
+        "cast(value / 20 as int) as food_rating",
+        "case when event_type <> 'error' then cast(event_id % 7 as int) end as delivery_rating",
+        "case when event_type <> 'signup' then ts end as created_at",
     )
 
 
 def reviews_of(orders: DataFrame) -> DataFrame:
-    """A review for two delivered orders in three; one in four gives no delivery rating."""
-    return orders.where("o_orderstatus = 'F' and o_orderkey % 3 <> 0").selectExpr(
+    """A review for every delivered order; one in four gives no delivery rating."""
+    return orders.where("o_orderstatus = 'F'").selectExpr(
         "o_orderkey as review_id",
         "o_orderkey as order_id",
         "o_custkey as customer_id",
@@ -230,8 +296,8 @@ def coupons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_coupons_of(orders: DataFrame) -> DataFrame:
-    """One order in four used a coupon."""
-    return orders.where("o_orderkey % 4 = 0").selectExpr(
+    """Every order used a coupon."""
+    return orders.selectExpr(
         "o_orderkey as order_id",
         "o_custkey % 25 as coupon_id",
         f"{_amount('(o_orderkey % 5000)')} as discount_applied",

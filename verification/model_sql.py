@@ -20,6 +20,7 @@ TABLES: dict[str, str] = {
     "m_customers": """
         SELECT c_custkey AS customer_id, c_name AS full_name,
                'user' || c_custkey || '@example.com' AS email,
+               CASE WHEN c_acctbal >= 0 THEN '+91 ' || (c_custkey // 2) END AS phone,
                TIMESTAMP '1994-01-01 00:00:00' + to_days(CAST(c_custkey % 900 AS INTEGER)) AS created_at
         FROM customer""",
     "m_restaurants": """
@@ -80,12 +81,32 @@ TABLES: dict[str, str] = {
                {_TOTAL} AS amount_c,
                CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS paid_at,
                CASE WHEN o_orderstatus = 'P' AND o_orderkey % 2 = 0 THEN {_TOTAL} ELSE 0 END AS refund_c
-        FROM orders WHERE o_orderkey % 7 <> 0""",
+        FROM orders""",
+    "m_payments_made": """
+        SELECT * FROM m_payments WHERE NOT (payment_method = 'cod' AND payment_status = 'failed')""",
+    "m_invoices": f"""
+        SELECT o_orderkey AS invoice_id, o_orderkey AS order_id,
+               'inv-' || lower(o_orderpriority) || '-' || o_custkey AS invoice_number,
+               {_TOTAL} // 10 * 10 AS grand_c, o_orderdate AS issued_at
+        FROM orders WHERE o_orderstatus = 'F'""",
+    "m_addresses": """
+        SELECT c_custkey AS address_id, c_custkey + c_nationkey AS customer_id,
+               CASE WHEN c_acctbal >= 0 THEN 'Street ' || c_nationkey END AS address_line1
+        FROM customer""",
+    "m_cuisines": """
+        SELECT n_nationkey AS cuisine_id, lower(n_name)[1:6] AS cuisine_key FROM nation""",
+    "m_served": "SELECT s_suppkey AS restaurant_id, s_nationkey + s_suppkey % 3 AS cuisine_id FROM supplier",
+    "m_raw_reviews": """
+        SELECT event_id AS review_id, user_id AS order_id, user_id // 15 AS restaurant_id,
+               CAST(trunc(value / 20) AS INTEGER) AS food_rating,
+               CASE WHEN event_type <> 'error' THEN event_id % 7 END AS delivery_rating,
+               CASE WHEN event_type <> 'signup' THEN ts END AS created_at
+        FROM events""",
     "m_reviews": f"""
         SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderkey // 150 AS restaurant_id,
                {_AGENT} AS agent_id, 1 + o_custkey % 5 AS food_rating,
                CASE WHEN o_orderkey % 4 <> 0 THEN 1 + o_orderkey % 5 END AS delivery_rating
-        FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 <> 0""",
+        FROM orders WHERE o_orderstatus = 'F'""",
     "m_coupons": """
         SELECT CAST(n_nationkey AS BIGINT) AS coupon_id, 'SAVE' || n_nationkey AS code,
                CASE WHEN n_nationkey % 2 = 0 THEN 'flat' ELSE 'percentage' END AS discount_type,
@@ -99,7 +120,7 @@ TABLES: dict[str, str] = {
         FROM nation""",
     "m_order_coupons": """
         SELECT o_orderkey AS order_id, o_custkey % 25 AS coupon_id, o_orderkey % 5000 AS discount_c
-        FROM orders WHERE o_orderkey % 4 = 0""",
+        FROM orders""",
     "m_snapshots": f"""
         SELECT event_id AS seq, user_id AS order_id, {_EVENT} AS new_status, ts AS changed_at,
                CAST(round(value * 100) AS BIGINT) AS subtotal_c
@@ -139,6 +160,7 @@ TABLES: dict[str, str] = {
 
 _NEEDS = {
     "m_suborders": ["m_orders"],
+    "m_payments_made": ["m_payments"],
     "m_changes": ["m_snapshots"],
     "m_imaged": ["m_snapshots"],
     "m_log": ["m_snapshots"],

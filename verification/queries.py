@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from tiffinlens.operators import (
 )
 from tiffinlens.plans.lineage import scratch_path
 from tiffinlens.session import tune
+from tiffinlens.sources.tables import insert_absent, register_views, write_by_month
 from tiffinlens.streaming import feeds
 
 from . import bindings as b
@@ -57,37 +59,41 @@ def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changefeed.with_old_status(b.snapshots(spark, sf_dir))
 
 
-def _placed(spark: SparkSession, sf_dir: str) -> intake.PlacedOrders:
+def _placed(spark: SparkSession, sf_dir: str, settle: bool = False) -> intake.PlacedOrders:
     return intake.place_orders(
         b.order_requests(spark, sf_dir),
         b.restaurants(spark, sf_dir),
         b.coupons(spark, sf_dir),
         b.cart(spark, sf_dir),
-        settle=False,
+        settle=settle,
     )
 
 
-def _updated(spark: SparkSession, sf_dir: str) -> intake.StatusUpdates:
+def _updated(spark: SparkSession, sf_dir: str, settle: bool = False) -> intake.StatusUpdates:
     return intake.apply_status_updates(
-        b.orders(spark, sf_dir), b.status_updates(spark, sf_dir), settle=False
+        b.orders(spark, sf_dir), b.status_updates(spark, sf_dir), settle=settle
     )
 
 
-def _confirmed(spark: SparkSession, sf_dir: str) -> intake.ConfirmedPayments:
+def _confirmed(spark: SparkSession, sf_dir: str, settle: bool = False) -> intake.ConfirmedPayments:
     return intake.confirm_payments(
-        b.payments(spark, sf_dir), b.orders(spark, sf_dir), b.confirmations(spark, sf_dir), settle=False
+        b.payments(spark, sf_dir), b.orders(spark, sf_dir), b.confirmations(spark, sf_dir), settle=settle
     )
 
 
-def _assigned(spark: SparkSession, sf_dir: str) -> intake.AssignedAgents:
+def _assigned(spark: SparkSession, sf_dir: str, settle: bool = False) -> intake.AssignedAgents:
     return intake.assign_agents(
-        b.orders(spark, sf_dir), b.agents(spark, sf_dir), b.assignments(spark, sf_dir), settle=False
+        b.orders(spark, sf_dir), b.agents(spark, sf_dir), b.assignments(spark, sf_dir), settle=settle
     )
 
 
 def _model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "customers": b.customers(spark, sf_dir),
+        "customer_addresses": b.customer_addresses(spark, sf_dir),
+        "cuisines": b.cuisines(spark, sf_dir),
+        "restaurant_cuisines": b.restaurant_cuisines(spark, sf_dir),
+        "invoices": b.invoices(spark, sf_dir),
         "restaurants": b.restaurants(spark, sf_dir),
         "delivery_agents": b.agents(spark, sf_dir),
         "menu_categories": b.menu_categories(spark, sf_dir),
@@ -114,14 +120,14 @@ def _invoices_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = b.imaged(b.snapshots_of(b.stream(spark, sf_dir, "events")))
     path = scratch_path(spark, "invoices")
     _finished(feeds.start_invoices(changes, f"{path}/rows", f"{path}/checkpoint"))
-    return spark.read.parquet(f"{path}/rows").select("order_id", "delivery_fee", "tax_amount")
+    return spark.read.parquet(f"{path}/rows").drop("version", "orders_from")
 
 
-def _totals_stream(rows: DataFrame, name: str, key: str) -> DataFrame:
+def _totals_stream(rows: DataFrame, name: str, *keys: str) -> DataFrame:
     spark = rows.sparkSession
     path = scratch_path(spark, name)
     _finished(feeds.start_versioned(rows, f"{path}/rows", f"{path}/checkpoint"))
-    return feeds.latest(spark, f"{path}/rows", key)
+    return feeds.latest(spark, f"{path}/rows", *keys)
 
 
 def _restaurant_ratings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +151,8 @@ def _coupon_uses_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _daily_kpi_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = b.orders_of(b.stream(spark, sf_dir, "orders"))
-    return _totals_stream(feeds.daily_kpi_stream(orders), "daily", "order_date").drop("unique_customers")
+    rows = _totals_stream(feeds.daily_customer_stream(orders), "daily", "order_date", "customer_id")
+    return feeds.daily_kpi_of(rows)
 
 
 def _daily_kpi_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,13 +167,11 @@ def _daily_kpi_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _purge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ask to erase every third order: rows left per table, and orders held back per holding table."""
-    tables = {
-        name: frame
-        for name, frame in _model(spark, sf_dir).items()
-        if name in ("orders", "order_items", "payments", "reviews", "order_coupons", "order_status_log")
-    }
-    erase = tables["orders"].filter(F.col("order_id") % 3 == 0).select("order_id")
+    """Ask to erase every cancelled order: rows left per table, and orders held back per holding table."""
+    model = _model(spark, sf_dir)
+    tables = {name: model[name] for name in ("orders", "order_items", "order_status_log")}
+    tables |= {"payments": b.payments_made(spark, sf_dir), "reviews": b.raw_reviews(spark, sf_dir)}
+    erase = tables["orders"].filter(F.col("order_status") == "cancelled").select("order_id")
     left, refused = audits.purge(tables, "orders", erase)
     counts = [
         frame.agg(F.count("*").alias("rows_left")).select(F.lit(name).alias("table_name"), "rows_left")
@@ -175,10 +180,89 @@ def _purge(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = refused.groupBy("held_by").agg(F.count("*").alias("rows_left")).select(
         F.concat(F.lit("held by "), F.col("held_by")).alias("table_name"), "rows_left"
     )
-    result = held
-    for count in counts:
-        result = result.unionByName(count)
-    return result
+    return reduce(DataFrame.unionByName, counts, held)
+
+
+def _rows_left(tables: dict[str, DataFrame], root: str, erase: DataFrame, ids: dict[str, str]) -> DataFrame:
+    left, _ = audits.purge(tables, root, erase)
+    return reduce(
+        DataFrame.unionByName,
+        [left[name].select(F.lit(name).alias("table_name"), F.col(key).cast("bigint").alias("id")) for name, key in ids.items()],
+    )
+
+
+def _purge_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ask to erase every customer: those with orders stay, and whose address an order goes to."""
+    tables = {name: getattr(b, name)(spark, sf_dir) for name in ("customers", "customer_addresses", "orders")}
+    return _rows_left(
+        tables,
+        "customers",
+        tables["customers"].select("customer_id"),
+        {"customers": "customer_id", "customer_addresses": "address_id"},
+    )
+
+
+def _purge_restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ask to erase every restaurant: those with large open orders or items in the largest lines stay."""
+    tables = {name: getattr(b, name)(spark, sf_dir) for name in ("restaurants", "restaurant_cuisines", "menu_items")}
+    tables["orders"] = b.orders(spark, sf_dir).where("order_status = 'placed' and total_amount > 300000")
+    tables["order_items"] = b.order_items(spark, sf_dir).where("quantity = 50")
+    return _rows_left(
+        tables,
+        "restaurants",
+        tables["restaurants"].select("restaurant_id"),
+        {"restaurants": "restaurant_id", "restaurant_cuisines": "restaurant_id", "menu_items": "item_id"},
+    )
+
+
+def _audited(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The model with reviews as they came in, unchecked."""
+    return _model(spark, sf_dir) | {"reviews": b.raw_reviews(spark, sf_dir)}
+
+
+def _duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reports = [audits.duplicate_report(name, table) for name, table in _audited(spark, sf_dir).items()]
+    return reduce(DataFrame.unionByName, reports)
+
+
+def _missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _audited(spark, sf_dir)
+    reports = [
+        audits.missing_values(name, tables[name]).select(F.lit(name).alias("table_name"), "*")
+        for name in ("orders", "customers", "customer_addresses", "reviews")
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
+def _views_for_bi(spark: SparkSession, sf_dir: str) -> None:
+    register_views(_model(spark, sf_dir) | {"payments": b.payments_made(spark, sf_dir)})
+
+
+def _view_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question asked of the daily view in SQL, as a BI tool would."""
+    _views_for_bi(spark, sf_dir)
+    return spark.sql(
+        "SELECT date_format(order_date, 'yyyy-MM') AS month, sum(total_orders) AS orders, "
+        "sum(daily_revenue) AS revenue FROM vw_daily_kpi GROUP BY 1"
+    )
+
+
+def _stored_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order view, stored in a folder per month and read back for one of them and by its sums."""
+    _views_for_bi(spark, sf_dir)
+    path = scratch_path(spark, "by-month")
+    write_by_month(spark.table("vw_order_summary").drop("order_month"), path)
+    return spark.read.parquet(path).groupBy(F.col("order_month").cast("string").alias("order_month")).agg(
+        F.count("*").alias("orders"), F.sum("total_amount").alias("total")
+    )
+
+
+def _insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's first event becomes a customer, unless the id is taken."""
+    fresh = b.snapshots(spark, sf_dir).select(
+        F.col("order_id").alias("customer_id"), F.col("changed_at").alias("created_at"), "seq"
+    )
+    return insert_absent(b.customers(spark, sf_dir), fresh, "customer_id", "seq")
 
 
 def _audit(check) -> Query:
@@ -210,13 +294,15 @@ QUERIES: dict[str, Query] = {
     "q13_coupon_effectiveness": lambda s, d: finance.coupon_effectiveness(
         b.coupons(s, d), b.order_coupons(s, d), b.orders(s, d)
     ),
-    "q14_cancellation_impact": lambda s, d: finance.cancellation_impact(b.orders(s, d), b.payments(s, d)),
+    "q14_cancellation_impact": lambda s, d: finance.cancellation_impact(
+        b.orders(s, d), b.payments_made(s, d)
+    ),
     "v1_order_summary": lambda s, d: views.order_summary(
         b.orders(s, d),
         b.customers(s, d),
         b.restaurants(s, d),
         b.agents(s, d),
-        b.payments(s, d),
+        b.payments_made(s, d),
         b.reviews(s, d),
     ),
     "v2_daily_kpi": lambda s, d: views.daily_kpi(b.orders(s, d)),
@@ -247,34 +333,39 @@ QUERIES: dict[str, Query] = {
     "p1_place_orders_payments": lambda s, d: _placed(s, d).payments,
     "p1_place_orders_log": lambda s, d: _placed(s, d).status_log.drop("note"),
     "p1_place_orders_coupons": lambda s, d: _placed(s, d).order_coupons,
-    "p1_place_orders_replies": lambda s, d: _placed(s, d).replies,
+    "p1_place_orders_replies": lambda s, d: _placed(s, d, True).replies,
     "p2_status_updates_replies": lambda s, d: _updated(s, d).replies,
     "p2_status_updates_orders": lambda s, d: _updated(s, d).orders.select(
         "order_id", "order_status", "delivered_at"
     ),
-    "p2_status_updates_log": lambda s, d: changefeed.status_log(_updated(s, d).changes),
+    "p2_status_updates_log": lambda s, d: _updated(s, d).log.drop("note"),
+    "p2_status_updates_log_notes": lambda s, d: _updated(s, d, True).log,
+    "p2_status_updates_old_log": lambda s, d: intake.annotate_log(
+        b.status_log(s, d).withColumn("note", F.lit(None).cast("string")), _updated(s, d).notes
+    ).select("log_id", "order_id", "status", "note"),
+    "p2_status_updates_invoices": lambda s, d: changefeed.new_invoices(_updated(s, d).changes),
     "p2_status_updates_notes": lambda s, d: _updated(s, d).notes,
     "p3_confirm_payments": lambda s, d: _confirmed(s, d).payments.select(
         "order_id", "payment_status", "transaction_ref", "paid_at"
     ),
     "p3_confirm_payments_orders": lambda s, d: _confirmed(s, d).orders.select("order_id", "order_status"),
     "p3_confirm_payments_changes": lambda s, d: _confirmed(s, d).changes.drop("changed_at"),
-    "p3_confirm_payments_replies": lambda s, d: _confirmed(s, d).replies,
+    "p3_confirm_payments_replies": lambda s, d: _confirmed(s, d, True).replies,
     "p4_assign_agents": lambda s, d: _assigned(s, d).orders.select("order_id", "agent_id"),
     "p4_assign_agents_agents": lambda s, d: _assigned(s, d).agents.select("agent_id", "is_available"),
-    "p4_assign_agents_replies": lambda s, d: _assigned(s, d).replies,
+    "p4_assign_agents_replies": lambda s, d: _assigned(s, d, True).replies,
     "c1_references": lambda s, d: audits.reference_report(_model(s, d)),
     "c1_orphan_positions": lambda s, d: audits.orphan_rows(
         b.locations(s, d), "agent_id", b.agents(s, d), "agent_id"
     ).select("location_id", "agent_id"),
-    "c2_duplicates": _audit(
-        lambda t: audits.duplicate_report("orders", t("orders"))
-        .unionByName(audits.duplicate_report("order_items", t("order_items")))
-        .unionByName(audits.duplicate_report("payments", t("payments")))
-        .unionByName(audits.duplicate_report("customers", t("customers")))
-    ),
+    "c2_duplicates": _duplicates,
     "c2_duplicate_lines": _audit(lambda t: audits.duplicate_keys(t("order_items"), ["order_item_id"])),
-    "c3_missing_values": _audit(lambda t: audits.missing_values("orders", t("orders"))),
+    "c3_missing_values": _missing,
+    "c4_review_ranges": _audit(
+        lambda t: audits.value_problems("reviews", t("raw_reviews")).select(
+            "review_id", F.concat_ws(",", "problems").alias("problems")
+        )
+    ),
     "c4_value_problems": lambda s, d: audits.value_problems(
         "order_status_log",
         b.status_updates(s, d).select(F.col("seq").alias("log_id"), "order_id", F.col("new_status").alias("status")),
@@ -284,18 +375,18 @@ QUERIES: dict[str, Query] = {
         .groupBy("order_id")
         .agg(F.count("*").alias("bad_lines"))
     ),
-    "c5_order_totals": _audit(
-        lambda t: t("orders")
-        .transform(audits.order_total_problems)
-        .agg(F.count("*").alias("bad_orders"))
-    ),
+    "c5_order_totals": _audit(lambda t: audits.order_total_problems(t("billed_orders"))),
+    "c5_invoice_totals": _audit(lambda t: audits.amount_problems(t("orders"), t("invoices"), "grand_total")),
     "c5_subtotals": _audit(lambda t: audits.subtotal_problems(t("orders"), t("order_items"))),
     "c5_payment_amounts": _audit(
-        lambda t: audits.amount_problems(t("orders"), t("payments"), "amount").agg(
-            F.count("*").alias("bad_payments")
-        )
+        lambda t: audits.amount_problems(t("orders"), t("collected_payments"), "amount")
     ),
     "c6_cascade_purge": _purge,
+    "c6_purge_customers": _purge_customers,
+    "c6_purge_restaurants": _purge_restaurants,
+    "s1_view_scan": _view_scan,
+    "s2_stored_by_month": _stored_by_month,
+    "s3_insert_absent": _insert_absent,
     "x1_bought_together": lambda s, d: menu.bought_together(b.order_items(s, d)),
     "x2_cohort_by_registration_month": lambda s, d: history.cohorts_by_registration(
         b.customers(s, d), b.orders(s, d)
