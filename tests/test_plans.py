@@ -90,8 +90,9 @@ def test_only_bounded_results_are_ever_collected_in_one_task(spark, no_broadcast
     allowed = {
         "q01_monthly_revenue_growth": 1,
         "q01r_monthly_growth_delivered": 1,
-        "q03_restaurant_pareto": 1,
-        "x6_pareto_cut": 1,
+        # The top level of a scan has 2**16 rows at most; the other is the one row of the total.
+        "q03_restaurant_pareto": 2,
+        "x6_pareto_cut": 2,
         "q04_revenue_by_payment_method": 1,
         "q05_customer_segments": 1,
         "q10_order_status_funnel": 1,
