@@ -20,7 +20,7 @@ from .staging import staged
 # Tokens of a seed, and so of the shortest tile.
 SEED = 5
 # Share of an item's tokens that tiles must cover.
-COVERAGE = 0.6
+COVERAGE = 0.5
 # First length searched; matches are found whole however long they are.
 FIRST_LENGTH = 20
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
