@@ -13,6 +13,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tiffinlens.plans.joins import hot_lookup
+
+from .staging import staged
+
 
 @dataclass(frozen=True)
 class SecretRule:
@@ -150,7 +154,9 @@ def scan_increment(
         F.coalesce(F.col(version).cast("string"), F.lit("")) if version else F.lit(""),
     )
     held = versions.select(holder.alias("holder"), blob_of(F.col("text")).alias("blob"), "text")
-    todo = unseen(held.select("holder", "blob"), rules, ledger)
+    # Written down first: what is left to scan is then data to the planner, and no
+    # text is matched before it is known to be of an unseen blob.
+    todo = staged(unseen(held.select("holder", "blob"), rules, ledger), "unseen")
     texts = held.join(todo.hint("shuffle_hash"), ["blob", "holder"])
     # A repeated row of the holder finds the same spans again: as few copies as rows repeat.
     findings = scan(texts, rules, "todo").groupBy("blob").agg(F.min("spans").alias("spans"))
@@ -166,11 +172,9 @@ def findings_by_path(versions: DataFrame, findings: DataFrame, path: str = "path
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans")
     )
     empty = F.array().cast("array<struct<start:int,place:int,kind:string,end:int>>")
-    return (
-        versions.select(F.col(path), blob_of(F.col("text")).alias("blob"))
-        .join(merged, "blob", "left")
-        .select(path, F.coalesce("spans", empty).alias("spans"))
-    )
+    held = versions.select(F.col(path), blob_of(F.col("text")).alias("blob"))
+    # A blob that very many paths hold is a hot partition that adaptive execution splits.
+    return hot_lookup(held, merged, "blob").select(path, F.coalesce("spans", empty).alias("spans"))
 
 
 def joined_spans(spans: Column) -> Column:
