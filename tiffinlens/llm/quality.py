@@ -29,7 +29,7 @@ def training_sample(
     per_class: int = SAMPLE_PER_CLASS,
     text_bytes: int = SAMPLE_TEXT_BYTES,
 ) -> list[tuple[str, int]]:
-    """At most ``2 * per_class`` texts with their labels, chosen by a hash of the id.
+    """At most ``2 * per_class`` texts with their labels, chosen by a hash of the id; one text to an id.
 
     Held-out ids, NULL ids or labels, ids with contradicting labels, and texts
     over ``text_bytes`` are left out; no class needs to be present.
@@ -43,22 +43,19 @@ def training_sample(
         .where("mark = other")
         .select("id", "mark", F.xxhash64("id").alias("place"))
     )
-    texts = documents.select(F.col("doc_id").alias("id"), "text").where(
-        F.octet_length("text") <= text_bytes
+    # At most per_class rows of each class: a bounded broadcast, and one pass over the texts.
+    chosen = [marks.where(F.col("mark") == m).orderBy("place", "id").limit(per_class) for m in (0, 1)]
+    rows = (
+        documents.select(F.col("doc_id").alias("id"), "text")
+        .where(F.octet_length("text") <= text_bytes)
+        .join(F.broadcast(chosen[0].unionByName(chosen[1])), "id")
+        .groupBy("id", "mark", "place")
+        .agg(F.min("text").alias("text"))
+        .orderBy("mark", "place", "id")
+        .select("text", "mark")
+        .collect()
     )
-    sample: list[tuple[str, int]] = []
-    for mark in (0, 1):
-        # The chosen ids are at most per_class rows: a bounded broadcast.
-        chosen = marks.where(F.col("mark") == mark).orderBy("place", "id").limit(per_class)
-        rows = (
-            texts.join(F.broadcast(chosen), "id")
-            .orderBy("place", "id", F.xxhash64("text"))
-            .limit(per_class)
-            .select("text")
-            .collect()
-        )
-        sample += [(row.text, mark) for row in rows]
-    return sample
+    return [(row.text, row.mark) for row in rows]
 
 
 def train(documents: DataFrame, labels: DataFrame, **bounds: int) -> Network:
