@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Temporary folders made for local sessions, by application.
+_LOCAL: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
@@ -24,10 +27,11 @@ def shared_folder(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tiffinlens-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="tiffinlens-")
+        atexit.register(shutil.rmtree, _LOCAL[application], ignore_errors=True)
+    return _LOCAL[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

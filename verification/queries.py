@@ -192,8 +192,9 @@ def _rows_left(tables: dict[str, DataFrame], root: str, erase: DataFrame, ids: d
 
 
 def _purge_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ask to erase every customer: those with orders stay, and whose address an order goes to."""
+    """Ask to erase every customer: those with open orders stay, and whose address one goes to."""
     tables = {name: getattr(b, name)(spark, sf_dir) for name in ("customers", "customer_addresses", "orders")}
+    tables["orders"] = tables["orders"].where("order_status = 'placed'")
     return _rows_left(
         tables,
         "customers",
@@ -205,8 +206,8 @@ def _purge_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _purge_restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ask to erase every restaurant: those with large open orders or items in the largest lines stay."""
     tables = {name: getattr(b, name)(spark, sf_dir) for name in ("restaurants", "restaurant_cuisines", "menu_items")}
-    tables["orders"] = b.orders(spark, sf_dir).where("order_status = 'placed' and total_amount > 300000")
-    tables["order_items"] = b.order_items(spark, sf_dir).where("quantity = 50")
+    tables["orders"] = b.orders(spark, sf_dir).where("order_status = 'placed' and total_amount > 450000")
+    tables["order_items"] = b.order_items(spark, sf_dir).where("item_total > 104900")
     return _rows_left(
         tables,
         "restaurants",
@@ -258,11 +259,11 @@ def _stored_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user's first event becomes a customer, unless the id is taken."""
+    """Whoever sends an event becomes an agent from the first one on, unless the id is taken."""
     fresh = b.snapshots(spark, sf_dir).select(
-        F.col("order_id").alias("customer_id"), F.col("changed_at").alias("created_at"), "seq"
+        F.col("order_id").alias("agent_id"), F.col("changed_at").alias("created_at"), "seq"
     )
-    return insert_absent(b.customers(spark, sf_dir), fresh, "customer_id", "seq")
+    return insert_absent(b.agents(spark, sf_dir), fresh, "agent_id", "seq")
 
 
 def _audit(check) -> Query:
