@@ -27,8 +27,8 @@ REVISIT_BYTES = 100
 SEGMENT_BYTES = 1 << 16
 # Bytes of one chunk of a chunked body.
 CHUNK_BYTES = 1 << 14
-# Payload rows of one archive file at most.
-RECORDS_PER_FILE = 5000
+# Records of one archive file at most. No block is over SEGMENT_BYTES, so a file is read whole in under 130 MB.
+RECORDS_PER_FILE = 2000
 # Bytes of the records handed to Spark at once.
 _BATCH = 1 << 23
 DATE = "2024-01-01T00:00:00Z"
