@@ -53,3 +53,42 @@ def test_pipeline_stages(spark):
     assert all((a ^ b).bit_count() > 4 for i, a in enumerate(prints) for b in prints[:i])
     last = corpus_pipeline.STAGES[-1][1](spark, docs, SF).toPandas().set_index("doc_id")
     assert all(last.loc[i].decoded_sha256 == brute.sha(t.encode()) for i, t in zip(rows.doc_id, rows.text))
+
+
+def small_tables(spark, folder, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    # Names that operators use inside.
+    for name in ("value", "host", "blob", "score", "position", "component_id", "seed"):
+        docs = docs.selectExpr("*", f"'mine' as {name}")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels = [(r[0], int(r[0]) % 2) for r in rows if r[0] is not None]
+    spark.createDataFrame(labels + [(None, 1), (3, None)] * bool(rows), "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    items = [(1, "seven words that no text here holds"), (2, None), (None, "x")] * bool(rows)
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    pages = [(r[0], r[3], r[1]) for r in rows]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    turns = [(r[0], i, "user" if i % 2 else None, r[1]) for i, r in enumerate(rows)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    return str(folder)
+
+
+ODD = [
+    (None, None, None, None, None),
+    (1, "", "", "", 0),
+    (2, None, "en", "a", None),
+    (3, "word " * 30, "en", "a", 1),
+    (3, "word " * 30, "en", "a", 1),
+    (4, "another text " * 5000 + "\n" * 50, "en", None, 1),
+    (None, "text without an id", "xx", "a", 9),
+]
+
+
+@pytest.mark.parametrize("rows", [[], ODD], ids=["empty", "odd"])
+def test_every_query_takes_empty_and_odd_tables(spark, tmp_path, rows):
+    folder = small_tables(spark, tmp_path, rows)
+    for name, query in queries.QUERIES.items():
+        found = query(spark, folder).count()
+        if name not in ("op8_decontamination", "op10_chat_format"):
+            assert found == len(rows), name
+    last = corpus_pipeline.run(spark, folder)
+    assert "doc_id" in last.columns and last.count() <= len(rows)
