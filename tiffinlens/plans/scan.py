@@ -48,8 +48,9 @@ def _carried(
     gather: Callable[[str], Column],
     running: Callable[[str], Column],
     joined: Callable[[Column, Column], Column],
+    total: str | None = None,
 ) -> DataFrame:
-    """keys, _slice, _carry: what all earlier slices of the keys come to.
+    """keys, _slice, _carry: what all earlier slices of the keys come to; ``total`` names a sum over all of them.
 
     ``slices`` has one row (_slice, _part) per slice of the rows. ``gather``
     makes a slice's part from those of its slices, which have their place in
@@ -61,7 +62,9 @@ def _carried(
         up = stages[-1].withColumn("_up", slice_of(F.col("_slice"), LEVEL_BITS))
         stages.append(up.groupBy(*keys, "_up").agg(gather("_slice").alias("_part")).withColumnRenamed("_up", "_slice"))
     top = stages.pop()
-    carry = top.select(*keys, "_slice", running("_part").over(_earlier(keys, "_slice")).alias("_carry"))
+    sums = [F.sum("_part").over(Window.partitionBy(*keys)).alias(total)] if total else []
+    more = [total] if total else []
+    carry = top.select(*keys, "_slice", running("_part").over(_earlier(keys, "_slice")).alias("_carry"), *sums)
     while stages:
         above = carry.withColumnRenamed("_slice", "_up").withColumnRenamed("_carry", "_above")
         inside = running("_part").over(_earlier([*keys, "_up"], "_slice"))
@@ -70,7 +73,7 @@ def _carried(
             .withColumn("_up", slice_of(F.col("_slice"), LEVEL_BITS))
             .withColumn("_inside", inside)
             .join(above, [*keys, "_up"])
-            .select(*keys, "_slice", joined(F.col("_inside"), F.col("_above")).alias("_carry"))
+            .select(*keys, "_slice", joined(F.col("_inside"), F.col("_above")).alias("_carry"), *more)
         )
     return carry
 
@@ -99,10 +102,8 @@ def running_sum_before(
         lambda place: F.sum("_part"),
         F.sum,
         lambda inside, above: F.coalesce(inside, zero) + F.coalesce(above, zero),
+        total,
     )
-    if total:
-        sums = slices.groupBy(*keys).agg(F.sum("_part").alias(total))
-        carry = carry.join(sums, keys) if keys else carry.withColumn(total, sums.scalar())
     inside = F.sum("_amount").over(_earlier([*keys, "_slice"], position))
     return (
         sliced.repartition(*keys, "_slice")
