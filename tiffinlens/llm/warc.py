@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from tiffinlens.plans.lineage import scratch_path
 
+from .staging import staged
+
 # Equal payloads of this many bytes are stored once; others revisit.
 REVISIT_BYTES = 100
 # Bytes of a record's block at most, before it goes on in a continuation.
@@ -56,13 +58,15 @@ def with_revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
         F.octet_length(payload_of(F.col("html"))).cast("long").alias("payload_bytes"),
         F.sha2(payload_of(F.col("html")), 256).alias("payload_digest"),
     )
-    # Digests of one page alone need no reference: what is joined are repeated payloads only.
-    firsts = (
+    # Digests of one page alone need no reference: what is joined are repeated payloads only. Written down, they
+    # have a known size: few are broadcast, and pages stay where they are.
+    firsts = staged(
         digested.where(F.col("payload_bytes") >= least)
         .groupBy("payload_digest")
         .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
         .where("n > 1")
-        .drop("n")
+        .drop("n"),
+        "repeated",
     )
     return digested.join(firsts, "payload_digest", "left").select(
         "page_id",
