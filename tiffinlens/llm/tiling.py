@@ -164,7 +164,9 @@ def contaminated(
     )
     tokens = items.select("item_id", tokens_of(F.col("text")).alias("item"))
     tiled = (
-        docs.join(pairs.join(tokens, "item_id"), "doc_id")
+        # Documents first, while the pairs' size is known: few pairs are broadcast and no text is shuffled.
+        docs.join(pairs, "doc_id")
+        .join(tokens, "item_id")
         .select("doc_id", "item_id", tokens_of(F.col("text")).alias("document"), "item")
         .mapInPandas(_tile(least), "doc_id long, item_id long, n_tokens long, n_covered long, n_tiles long")
     )
