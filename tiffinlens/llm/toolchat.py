@@ -219,7 +219,7 @@ def linked(messages: DataFrame) -> DataFrame:
     answered = results.select("conv_id", "call_id").distinct().withColumn("answered", F.lit(True))
     calls = (
         firsts.join(placed, ["conv_id", "call_id"], "left")
-        .join(answered, ["conv_id", "call_id"], "left")
+        .join(answered.hint("shuffle_hash"), ["conv_id", "call_id"], "left")
         .select(
             "conv_id",
             F.coalesce("position", "turn").alias("position"),
@@ -256,7 +256,8 @@ def linked(messages: DataFrame) -> DataFrame:
         F.col("state").alias("status"),
     )
     found = calls.select("conv_id", "call_id", F.col("position").alias("called"), F.col("step").alias("call_step"))
-    answers = results.join(found, ["conv_id", "call_id"], "left").select(
+    # Calls are one row per id, so the hashed side of a partition is small however hot a conversation is.
+    answers = results.join(found.hint("shuffle_hash"), ["conv_id", "call_id"], "left").select(
         "conv_id",
         F.coalesce(F.greatest("turn", "called"), "turn").alias("position"),
         F.when(F.col("called") >= F.col("turn"), F.col("call_step") + 1).otherwise(0).cast("long").alias("step"),
