@@ -379,6 +379,31 @@ def test_winning_path_of_a_host(spark):
     assert htmltext.extracted(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<article><h1>Head</h1><p>Lead</p><div class=content><p>{a}</div><div class=more><p>{b}</div></article>",
+        "<article><h1>Head</h1><p>Lead</p><section><p>{a}<p>{b}</section></article>",
+        "<main><h1>Head</h1><p>Lead</p><div class=x><div class=y><div class=z><p>{a}</div></div></div><div><p>{b}</div></main>",
+        "<div class=post><h1>Head</h1><p>Lead</p><div class=content><p>{a}</div><div class=more><p>{b}</div></div>",
+        "<div class=post><h1>Head</h1><p>Lead</p><div class=content><p>{a}<p>{b}</div></div>",
+        "<div class=post><h1>Head</h1><p>Lead</p><section class=s1><p>{a}</section><section class=s2><p>{b}</section></div>",
+        "<main><article class=one><h1>Head</h1><p>Lead</p><p>{a}</article><article class=two><p>{b}</article></main>",
+    ],
+)
+def test_nested_and_split_articles_are_whole(spark, body):
+    a, b = ("first " * 600).strip(), ("second " * 450).strip()
+    html = "<body><nav>menu</nav>" + body.format(a=a, b=b) + "<div class=more-links>" + "<a href=x>elsewhere</a> " * 9 + "</div>"
+    pages = spark.createDataFrame([(i, "http://h/", html) for i in range(2)], "page_id long, url string, html string")
+    assert {r.text for r in htmltext.extracted(pages).collect()} == {f"Head\n\nLead\n\n{a}\n\n{b}"}
+
+
+def test_links_beside_an_article_stay_out():
+    links = "<ul class=list>" + "<li><a href=x>some other page</a>" * 40 + "</ul>"
+    page = f"<body><h1>Site</h1>{links}<div class=post><p>{'word ' * 50}</div></body>"
+    assert htmltext.best_path(htmltext.parse(page)) == ">body>div.post"
+
+
 def test_deep_and_broken_markup_ends():
     html = "<div>" * 3000 + "text" + "</p></span></div>" * 10 + "<!-- never closed " + "<p>" * 10
     assert htmltext.main_text(html, None) == "text"

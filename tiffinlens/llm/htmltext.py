@@ -1,7 +1,8 @@
 """Main text of web pages: containers scored per page, their paths voted on per host, then extracted again.
 
 A container's path is generalised: tags with their classes, digits taken out.
-Each page votes for the path of its best container; Spark adds the votes up per
+Each page votes for the path of its best container, widened to the article
+around it; Spark adds the votes up per
 host, and all pages of the host are extracted from where the host's article is.
 """
 
@@ -42,6 +43,8 @@ BLOCKS = CONTAINERS | frozenset(
     "html p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr blockquote pre figure figcaption "
     "address hr details summary caption".split()
 )
+# Share of the counted text that a container must hold to stand for all of it.
+MOST = 0.8
 # Elements tracked while open, besides blocks; all others are inline and only their text counts.
 TRACKED = BLOCKS | DROPPED_TAGS | frozenset("th a".split())
 VOID = frozenset("hr br input img meta link area base col embed source track wbr".split())
@@ -71,9 +74,13 @@ class Element:
 
 @dataclass
 class Page:
-    """Blocks in page order as (container, text, characters of links), and each container's path and parent."""
+    """Blocks in page order as (container, text, characters of links), and each container's path and parent.
+
+    ``headlines`` are the numbers of the blocks inside h1 elements.
+    """
 
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
+    headlines: list[int] = field(default_factory=list)
     paths: list[str] = field(default_factory=list)
     parents: list[int] = field(default_factory=list)
 
@@ -101,6 +108,8 @@ def parse(html: str) -> Page:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
+                if any(e.tag == "h1" for e in stack[-3:]):
+                    page.headlines.append(len(page.blocks))
                 page.blocks.append((stack[-1].container if stack else -1, text, linked))
             parts.clear()
         linked = 0
@@ -185,8 +194,13 @@ def parse(html: str) -> Page:
     return page
 
 
+def worth_of(text: str, linked: int) -> int:
+    """Characters of a block, those of links counted against it."""
+    return max(0, len(text) - 2 * linked)
+
+
 def best_path(page: Page) -> str | None:
-    """The path of the container with the highest score.
+    """The path of the densest container, widened to the article around it.
 
     Its own blocks count with their characters outside links, those of its
     direct children for half; longer paths lose ties, then later ones.
@@ -194,15 +208,75 @@ def best_path(page: Page) -> str | None:
     scores: dict[int, float] = {}
     for container, text, linked in page.blocks:
         if container >= 0:
-            worth = max(0, len(text) - 2 * linked)
+            worth = worth_of(text, linked)
             scores[container] = scores.get(container, 0) + worth
             if page.parents[container] >= 0:
                 above = page.parents[container]
                 scores[above] = scores.get(above, 0) + worth / 2
     if not scores or max(scores.values()) <= 0:
         return None
-    best = min(scores, key=lambda c: (-scores[c], len(page.paths[c]), c))
-    return page.paths[best]
+    return page.paths[widened(page, min(scores, key=lambda c: (-scores[c], len(page.paths[c]), c)))]
+
+
+def _tag(path: str) -> str:
+    return path.rsplit(">", 1)[-1].split(".", 1)[0]
+
+
+def _by_path(page: Page, amounts: list[tuple[int, int]]) -> dict[str, int]:
+    """Amounts of (container, amount), added up over all that the containers of a path hold."""
+    sums = [0] * len(page.paths)
+    for c, amount in amounts:
+        if c >= 0:
+            sums[c] += amount
+    out: dict[str, int] = {}
+    for c in range(len(sums) - 1, -1, -1):  # children stand after their parents
+        if page.parents[c] >= 0:
+            sums[page.parents[c]] += sums[c]
+        out[page.paths[c]] = out.get(page.paths[c], 0) + sums[c]
+    return out
+
+
+def widened(page: Page, best: int) -> int:
+    """The container of the whole article that ``best`` is a part of.
+
+    That is the outermost article around it, or without one the lowest container
+    around it that holds MOST of the text in its main element, else of the page.
+    If articles of other paths hold much too, it is the lowest that holds MOST of
+    all articles. Text counts as in the score, and for all containers of a path
+    together, as they are extracted. An h1 left out is taken in by the lowest
+    container that has it, if what that adds is neither mostly links nor over
+    1 - MOST of its text.
+    """
+    above = [best]
+    while page.parents[above[-1]] >= 0:
+        above.append(page.parents[above[-1]])
+    tags = [_tag(page.paths[c]) for c in above]
+    at = max((i for i, tag in enumerate(tags) if tag == "article"), default=0)
+    in_articles = tags[at] == "article"
+    last = next((i for i, tag in enumerate(tags) if tag == "main" and i >= at), len(above) - 1)
+    counted: list[bool] = []
+    in_base: list[bool] = []
+    in_article: list[bool] = []
+    for c, parent in enumerate(page.parents):
+        in_base.append(tags[last] != "main" or c == above[last] or (parent >= 0 and in_base[parent]))
+        in_article.append(_tag(page.paths[c]) == "article" or (parent >= 0 and in_article[parent]))
+        counted.append(in_base[c] and (in_article[c] or not in_articles))
+    worths = [(c, worth_of(text, linked)) for c, text, linked in page.blocks if c >= 0 and counted[c]]
+    total = sum(worth for _, worth in worths)
+    held = _by_path(page, worths)
+    while at < last and held[page.paths[above[at]]] < MOST * total:
+        at += 1
+    chosen = page.paths[above[at]]
+    heads = _by_path(page, [(page.blocks[i][0], 1) for i in page.headlines])
+    wider = next((c for c in above[at : last + 1] if heads[page.paths[c]]), above[at])
+    if page.paths[wider] != chosen:
+        path = page.paths[wider]
+        sizes = _by_path(page, [(c, len(text)) for c, text, _ in page.blocks])
+        links = _by_path(page, [(c, linked) for c, _, linked in page.blocks])
+        added = sizes[path] - sizes[chosen]
+        if 2 * (links[path] - links[chosen]) <= added and added <= (1 - MOST) * sizes[path]:
+            return wider
+    return above[at]
 
 
 def text_under(page: Page, path: str) -> str | None:
