@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -216,6 +216,78 @@ def _purge_restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Added to an id, it makes that of a newcomer whom no given order knows.
+NEWCOMER = 1_000_000_000
+
+
+def _with_newcomers(table: DataFrame, *ids: str) -> DataFrame:
+    """The rows, and each again with its ids moved past all given ones."""
+    moved = table.select(*[(F.col(c) + NEWCOMER).alias(c) if c in ids else F.col(c) for c in table.columns])
+    return table.unionByName(moved)
+
+
+def _moved_at(column: str, condition: str) -> Column:
+    return F.when(F.expr(condition), F.col(column) + NEWCOMER).otherwise(F.col(column))
+
+
+def _purged(tables: dict[str, DataFrame], root: str, erase: DataFrame, ids: dict[str, str]) -> DataFrame:
+    """table_name, id: the rows left of each table, and the root keys held back per holding table."""
+    left, refused = audits.purge(tables, root, erase)
+    rows = [
+        left[name].select(F.lit(name).alias("table_name"), F.col(key).cast("bigint").alias("id")) for name, key in ids.items()
+    ]
+    held = refused.select(
+        F.concat(F.lit("held by "), F.col("held_by")).alias("table_name"), F.col("root_key").cast("bigint").alias("id")
+    )
+    return reduce(DataFrame.unionByName, rows, held)
+
+
+def _purge_customers_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ask to erase who left no phone, newcomers among them: any order of theirs, or to their address, holds them.
+
+    Every 97th order goes to a newcomer's address. All tables are whole.
+    """
+    tables = {
+        "customers": _with_newcomers(b.customers(spark, sf_dir), "customer_id"),
+        "customer_addresses": _with_newcomers(b.customer_addresses(spark, sf_dir), "address_id", "customer_id"),
+        "orders": b.orders(spark, sf_dir).withColumn(
+            "delivery_address_id", _moved_at("delivery_address_id", "order_id % 97 = 0")
+        ),
+    }
+    return _purged(
+        tables,
+        "customers",
+        tables["customers"].where("phone IS NULL").select("customer_id"),
+        {"customers": "customer_id", "customer_addresses": "address_id", "orders": "order_id"},
+    )
+
+
+def _purge_restaurants_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ask to erase the restaurants of some cities, newcomers among them: any order or sold item holds them.
+
+    Every 997th line sells a newcomer's item. All tables are whole.
+    """
+    tables = {
+        "restaurants": _with_newcomers(b.restaurants(spark, sf_dir), "restaurant_id"),
+        "restaurant_cuisines": _with_newcomers(b.restaurant_cuisines(spark, sf_dir), "restaurant_id"),
+        "menu_items": _with_newcomers(b.menu_items(spark, sf_dir), "item_id", "restaurant_id"),
+        "orders": b.orders(spark, sf_dir),
+        "order_items": b.order_items(spark, sf_dir).withColumn("item_id", _moved_at("item_id", "order_item_id % 997 = 0")),
+    }
+    return _purged(
+        tables,
+        "restaurants",
+        tables["restaurants"].where("city LIKE 'CITY_1%'").select("restaurant_id"),
+        {
+            "restaurants": "restaurant_id",
+            "restaurant_cuisines": "restaurant_id",
+            "menu_items": "item_id",
+            "orders": "order_id",
+            "order_items": "order_item_id",
+        },
+    )
+
+
 def _audited(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The model with reviews as they came in, unchecked."""
     return _model(spark, sf_dir) | {"reviews": b.raw_reviews(spark, sf_dir)}
@@ -385,6 +457,8 @@ QUERIES: dict[str, Query] = {
     "c6_cascade_purge": _purge,
     "c6_purge_customers": _purge_customers,
     "c6_purge_restaurants": _purge_restaurants,
+    "c6_purge_customers_whole": _purge_customers_whole,
+    "c6_purge_restaurants_whole": _purge_restaurants_whole,
     "s1_view_scan": _view_scan,
     "s2_stored_by_month": _stored_by_month,
     "s3_insert_absent": _insert_absent,
