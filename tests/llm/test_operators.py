@@ -452,6 +452,23 @@ def test_calls_are_linked_ordered_and_checked(spark):
     assert toolchat.formatted(frame.limit(0), {}).count() == 0
 
 
+def test_text_beside_calls_is_kept(spark):
+    rows = [
+        message(1, 1, "assistant", "let me see", [("a", "f", '{"q":"1"}'), ("b", "f", '{"q":"2"}', ["a"])]),
+        message(1, 2, "tool", "one", result="a"),
+        message(1, 3, "tool", "two", result="b"),
+        message(1, 4, "assistant", "", [("c", "f", '{"q":"3"}')]),
+        message(1, 5, "tool", "three", [("d", "f", '{"q":"4"}')], result="c"),
+    ]
+    got = toolchat.formatted(spark.createDataFrame(rows, toolchat.MESSAGES), {"f": SCHEMA}).collect()
+    order = sorted(got, key=lambda r: (r.position, r.step, r.turn))
+    assert [(r.role, r.call_id) for r in order if r.call_id != "d"] == [
+        ("assistant", None), ("tool_call", "a"), ("tool", "a"), ("tool_call", "b"), ("tool", "b"), ("tool_call", "c"), ("tool", "c")
+    ]
+    assert order[0].json == '{"content":"let me see","role":"assistant"}' and order[0].status == "ok"
+    assert len(got) == 8
+
+
 @pytest.mark.parametrize(
     "value, schema, fits",
     [

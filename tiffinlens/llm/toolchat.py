@@ -190,7 +190,9 @@ def linked(messages: DataFrame) -> DataFrame:
     """Messages, calls and results as rows with position, step, status, in topological order within a conversation.
 
     Sorted by (position, step, turn) a result stands after its call, and a call
-    after the results it waits for, whatever turns they were logged in. Status
+    after the results it waits for, whatever turns they were logged in. The text
+    of a message with calls is a row of its own, with step -1: it stands before
+    them. Status
     is ok, or unanswered call, unknown call (a result without one), repeated
     call id (the first by turn, name and arguments is the call), unresolved
     (a call that waits for what never comes). NULL conversations or ids link to
@@ -269,12 +271,13 @@ def linked(messages: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("arguments"),
         F.when(F.col("called").isNull(), "unknown call").otherwise("ok").alias("status"),
     )
+    calling = F.coalesce(F.size("tool_calls"), F.lit(0)) > 0
     rest = messages.where("role IS NULL OR role <> 'tool'").where(
-        F.coalesce(F.size("tool_calls"), F.lit(0)) <= 0
+        ~calling | (F.coalesce("text", F.lit("")) != "")
     ).select(
         "conv_id",
         F.col("turn").alias("position"),
-        F.lit(0).cast("long").alias("step"),
+        F.when(calling, -1).otherwise(0).cast("long").alias("step"),
         "turn",
         "role",
         "text",
