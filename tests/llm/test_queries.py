@@ -30,6 +30,12 @@ def test_query_equals_sql(spark, connection, name):
     assert listed(queries.QUERIES[name](spark, SF).toPandas()) == listed(want)
 
 
+def test_chained_calls_equal_sql(spark, connection):
+    found = queries.MORE_QUERIES["op10_chat_format_chained"](spark, SF).toPandas()
+    assert listed(found) == listed(connection.execute(oracles.MORE_ORACLES["op10_chat_format_chained"]).df())
+    assert found[found.role == "tool_call"].step.max() > 1 and set(oracles.MORE_ORACLES) == set(queries.MORE_QUERIES)
+
+
 def test_all_ten_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
 

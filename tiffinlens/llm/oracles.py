@@ -154,6 +154,49 @@ WITH asked AS (
 SELECT conv_id, position, step::BIGINT AS step, turn, role, call_id, status, json FROM everything
 """
 
+CHAINED_CHAT = r"""
+WITH RECURSIVE asked AS (
+    SELECT conv_id, turn, text, 'call-' || turn AS call_id, len(string_split(text, ' ')) AS words,
+           CASE WHEN turn % 4 >= 2 THEN greatest(turn - 3, 0) ELSE turn + turn % 2 END AS place
+    FROM conversations WHERE role = 'user'
+), told AS (
+    SELECT conv_id, turn, text, 'call-' || (turn - 1) AS call_id FROM conversations WHERE role = 'assistant'
+), placed AS (
+    SELECT conv_id, turn, place AS position, 0::BIGINT AS step FROM asked WHERE turn < 2
+    UNION ALL
+    SELECT a.conv_id, a.turn, greatest(a.place, t.turn, p.position),
+           CASE WHEN a.place > greatest(t.turn, p.position) THEN 0 WHEN t.turn > p.position THEN 1 ELSE p.step + 2 END
+    FROM placed p
+    JOIN told t ON t.conv_id = p.conv_id AND t.turn = p.turn + 1
+    JOIN asked a ON a.conv_id = p.conv_id AND a.turn = p.turn + 2
+), ordered AS (
+    SELECT a.*, coalesce(p.position, a.place) AS position, coalesce(p.step, 0) AS step, p.conv_id IS NULL AS stuck
+    FROM asked a LEFT JOIN placed p ON p.conv_id = a.conv_id AND p.turn = a.turn
+), calls AS (
+    SELECT a.conv_id, a.position, a.step, a.place AS turn, 'tool_call' AS role, a.call_id,
+           CASE WHEN a.stuck THEN 'unresolved'
+                WHEN t.conv_id IS NULL THEN 'unanswered call'
+                WHEN a.text = '' THEN 'invalid arguments: $.question: too short'
+                WHEN a.words > 40 THEN 'invalid arguments: $.words: out of range'
+                ELSE 'ok' END AS status,
+           '{"role":"assistant","tool_calls":[{"arguments":{"question":' || to_json(a.text) || ',"words":' || a.words
+           || '},"id":' || to_json(a.call_id) || ',"name":"lookup"}]}' AS json
+    FROM ordered a LEFT JOIN told t USING (conv_id, call_id)
+), results AS (
+    SELECT t.conv_id, greatest(t.turn, coalesce(a.position, t.turn)) AS position,
+           CASE WHEN a.position >= t.turn THEN a.step + 1 ELSE 0 END AS step, t.turn, 'tool' AS role, t.call_id,
+           CASE WHEN a.conv_id IS NULL THEN 'unknown call' ELSE 'ok' END AS status,
+           '{"content":' || to_json(t.text) || ',"role":"tool","tool_call_id":' || to_json(t.call_id) || '}' AS json
+    FROM told t LEFT JOIN ordered a USING (conv_id, call_id)
+), plain AS (
+    SELECT conv_id, turn AS position, 0 AS step, turn, role, NULL::VARCHAR AS call_id, 'ok' AS status,
+           '{"content":' || to_json(text) || ',"role":' || to_json(role) || '}' AS json
+    FROM conversations
+)
+SELECT conv_id, position, step::BIGINT AS step, turn, role, call_id, status, json
+FROM (SELECT * FROM calls UNION ALL SELECT * FROM results UNION ALL SELECT * FROM plain)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINES,
     "op3_quality_rules": RULES,
@@ -161,3 +204,5 @@ ORACLES: dict[str, str] = {
     "op6_warc": WARC,
     "op10_chat_format": CHAT,
 }
+
+MORE_ORACLES: dict[str, str] = {"op10_chat_format_chained": CHAINED_CHAT}

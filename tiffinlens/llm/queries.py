@@ -107,27 +107,33 @@ LOOKUP = {
 }
 
 
-def tool_messages(conversations: DataFrame) -> DataFrame:
+def tool_messages(conversations: DataFrame, chained: bool = False) -> DataFrame:
     """The conversations with tool use in them: each user's turn calls ``lookup``, the turn after it is the result.
 
     Both are logged in the order in which a busy log might have them: the call
-    of an odd turn a turn late, together with its result.
+    of an odd turn a turn late, together with its result. If ``chained``, each
+    call waits for the result of the call two turns before, and every second
+    one is logged three turns early, ahead of what it waits for.
     """
     turn, asked = F.col("turn"), F.col("role") == "user"
+    after, logged = F.array().cast("array<string>"), turn + turn % 2
+    if chained:
+        after = F.when(turn >= 2, F.array(F.concat(F.lit("call-"), (turn - 2).cast("string")))).otherwise(after)
+        logged = F.when(turn % 4 >= 2, F.greatest(turn - 3, F.lit(0).cast("long"))).otherwise(logged)
     call = F.struct(
         F.concat(F.lit("call-"), turn.cast("string")).alias("id"),
         F.lit("lookup").alias("name"),
         F.to_json(
             F.struct(F.col("text").alias("question"), F.size(F.split("text", " ")).alias("words"))
         ).alias("arguments"),
-        F.array().cast("array<string>").alias("after"),
+        after.alias("after"),
     )
     none = F.array().cast("array<struct<id:string,name:string,arguments:string,after:array<string>>>")
     nothing = F.lit(None).cast("string")
     plain = conversations.select("conv_id", "turn", "role", "text", none.alias("tool_calls"), nothing.alias("tool_call_id"))
     calls = conversations.where(asked).select(
         "conv_id",
-        (turn + turn % 2).alias("turn"),
+        logged.alias("turn"),
         F.lit("assistant").alias("role"),
         nothing.alias("text"),
         F.array(call).alias("tool_calls"),
@@ -149,6 +155,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toolchat.formatted(tool_messages(conversations), {"lookup": LOOKUP})
 
 
+def op10_chat_format_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op10_chat_format, each call waiting for the result of the call before."""
+    conversations = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return toolchat.formatted(tool_messages(conversations, chained=True), {"lookup": LOOKUP})
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -161,3 +173,6 @@ QUERIES: dict[str, Query] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_chat_format": op10_chat_format,
 }
+
+# Beside the one query of each operator.
+MORE_QUERIES: dict[str, Query] = {"op10_chat_format_chained": op10_chat_format_chained}
