@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, htmltext, lines, quality, rules, secrets, simhash, tiling, toolchat, warc
+from . import bpe, htmltext, lines, quality, rules, secrets, simhash, tiling, tokenfiles, toolchat, warc
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+WORD_FILE = "word_bpe_49k.json"
+END_ID = 2
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,6 +163,11 @@ def op10_chat_format_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toolchat.formatted(tool_messages(conversations, chained=True), {"lookup": LOOKUP})
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokenfiles.round_trip(documents, public_tokenizers.path(WORD_FILE), END_ID, ("ids_crc32",))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -172,6 +179,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_chat_format": op10_chat_format,
+    "op11_token_files": op11_token_files,
 }
 
 # Beside the one query of each operator.
