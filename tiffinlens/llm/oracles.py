@@ -197,12 +197,90 @@ SELECT conv_id, position, step::BIGINT AS step, turn, role, call_id, status, jso
 FROM (SELECT * FROM calls UNION ALL SELECT * FROM results UNION ALL SELECT * FROM plain)
 """
 
+# Trees level by level, then every leaf upwards; CRC-32 bit by bit.
+MERKLE = r"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, source, text,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS place,
+           coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+               || coalesce(strlen(lang) || ':' || lang, '-')
+               || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS front,
+           coalesce(strlen(text) || ':' || text, '-') AS body,
+           coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS spoilt
+    FROM documents
+), checks(doc_id, left_over, crc) AS (
+    SELECT doc_id, doc_id::VARCHAR, 4294967295::BIGINT FROM documents WHERE doc_id IS NOT NULL
+    UNION ALL
+    SELECT doc_id, left_over[2:],
+           list_reduce(list_prepend(xor(crc, ascii(left_over)::BIGINT), range(8)),
+                       lambda c, step: xor(c >> 1, 3988292384 * (c & 1)))
+    FROM checks WHERE left_over <> ''
+), tampered AS (
+    SELECT DISTINCT doc_id FROM checks WHERE left_over = '' AND xor(crc, 4294967295) % 5 = 0
+), nodes(source, level, place, digest, more) AS (
+    SELECT source, 0, place, sha256(front || body), count(*) OVER (PARTITION BY source) > 1 FROM leaves
+    UNION ALL
+    SELECT * FROM (
+        SELECT source, level, place, digest, count(*) OVER (PARTITION BY source) > 1 FROM (
+            SELECT source, any_value(level) + 1 AS level, place // 16 AS place,
+                   sha256(string_agg(digest, '' ORDER BY place)) AS digest
+            FROM nodes WHERE more GROUP BY source, place // 16
+        )
+    )
+), subroots AS (
+    SELECT source, digest AS subroot, level AS top, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS seat
+    FROM nodes WHERE NOT more
+), upper_nodes(level, place, digest, more) AS (
+    SELECT 0, seat, subroot, count(*) OVER () > 1 FROM subroots
+    UNION ALL
+    SELECT * FROM (
+        SELECT level, place, digest, count(*) OVER () > 1 FROM (
+            SELECT any_value(level) + 1 AS level, place // 16 AS place,
+                   sha256(string_agg(digest, '' ORDER BY place)) AS digest
+            FROM upper_nodes WHERE more GROUP BY place // 16
+        )
+    )
+), sides AS (
+    SELECT n.source, n.level, n.place,
+           coalesce(string_agg(o.digest, '' ORDER BY o.place) FILTER (WHERE o.place < n.place), '') AS before,
+           coalesce(string_agg(o.digest, '' ORDER BY o.place) FILTER (WHERE o.place > n.place), '') AS behind
+    FROM nodes n JOIN nodes o
+      ON n.source IS NOT DISTINCT FROM o.source AND n.level = o.level AND n.place // 16 = o.place // 16
+    WHERE n.more GROUP BY ALL
+    UNION ALL
+    SELECT s.source, s.top + n.level, n.place,
+           coalesce(string_agg(o.digest, '' ORDER BY o.place) FILTER (WHERE o.place < n.place), ''),
+           coalesce(string_agg(o.digest, '' ORDER BY o.place) FILTER (WHERE o.place > n.place), '')
+    FROM upper_nodes n JOIN upper_nodes o ON n.level = o.level AND n.place // 16 = o.place // 16
+    JOIN subroots s ON s.seat // (16 ** n.level)::BIGINT = n.place
+    WHERE n.more GROUP BY ALL
+), climb AS (
+    SELECT l.doc_id, l.source, l.place, sha256(l.front || l.body) AS leaf, 0 AS level, '' AS proof,
+           sha256(l.front || CASE WHEN t.doc_id IS NULL THEN l.body ELSE l.spoilt END) AS folded
+    FROM leaves l LEFT JOIN tampered t ON l.doc_id = t.doc_id
+    UNION ALL
+    SELECT c.doc_id, c.source, c.place, c.leaf, c.level + 1, c.proof || i.before || i.behind,
+           sha256(i.before || c.folded || i.behind)
+    FROM climb c JOIN subroots s ON c.source IS NOT DISTINCT FROM s.source
+    JOIN sides i ON c.source IS NOT DISTINCT FROM i.source AND c.level = i.level
+      AND i.place = CASE WHEN c.level < s.top THEN c.place // (16 ** c.level)::BIGINT
+                         ELSE s.seat // (16 ** (c.level - s.top))::BIGINT END
+), ends AS (
+    SELECT * FROM climb QUALIFY level = max(level) OVER (PARTITION BY source)
+)
+SELECT e.doc_id, e.leaf, s.subroot, u.digest AS root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root,
+       e.folded = u.digest AS verified
+FROM ends e JOIN subroots s ON e.source IS NOT DISTINCT FROM s.source
+JOIN upper_nodes u ON NOT u.more
+"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINES,
     "op3_quality_rules": RULES,
     "op4_secret_scans": SECRETS,
     "op6_warc": WARC,
     "op10_chat_format": CHAT,
+    "op12_merkle_manifest": MERKLE,
 }
 
 MORE_ORACLES: dict[str, str] = {"op10_chat_format_chained": CHAINED_CHAT}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, htmltext, lines, quality, rules, secrets, simhash, tiling, tokenfiles, toolchat, warc
+from . import bpe, htmltext, lines, merkle, quality, rules, secrets, simhash, tiling, tokenfiles, toolchat, warc
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 WORD_FILE = "word_bpe_49k.json"
@@ -168,6 +168,20 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(documents, public_tokenizers.path(WORD_FILE), END_ID, ("ids_crc32",))
 
 
+LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select(*LEAF_FIELDS)
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return merkle.manifest(
+        documents,
+        LEAF_FIELDS,
+        tampered=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0,
+        changes={"text": F.translate("text", capitals, capitals.lower())},
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -180,6 +194,7 @@ QUERIES: dict[str, Query] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_chat_format": op10_chat_format,
     "op11_token_files": op11_token_files,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 # Beside the one query of each operator.
