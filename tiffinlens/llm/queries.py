@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, htmltext, lines, merkle, quality, rules, secrets, simhash, tiling, tokenfiles, toolchat, warc
+from . import alignment, bpe, htmltext, lines, merkle, quality, rules, secrets, simhash, tiling, tokenfiles, toolchat, warc
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 WORD_FILE = "word_bpe_49k.json"
+BYTE_FILE = "byte_bpe_50k.json"
+PIECE_FILE = "piece_bpe_32k.model"
 END_ID = 2
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,6 +184,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.alignment(documents, public_tokenizers.path(BYTE_FILE), public_tokenizers.path(PIECE_FILE))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -195,6 +202,7 @@ QUERIES: dict[str, Query] = {
     "op10_chat_format": op10_chat_format,
     "op11_token_files": op11_token_files,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 # Beside the one query of each operator.
