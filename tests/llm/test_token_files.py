@@ -45,7 +45,8 @@ def test_wide_symbols():
 
 TEXTS = [
     "", None, " \t\n ", "It's the <|endoftext|>end<|startoftext|> of ＡＢＣ é é ΟΔΟΣ Σ x y\x85z",
-    "don't  stop 12345 \x1cа\x1f 漢字かな 🙂🙂 ﬁ ŉ İ", "word " * 3000, "x" * 5000, "á ́b", "﻿a\x00b",
+    "<|ENDOFTEXT|> A.b.C,, I'M 'S !a;b:c? ABC<|endoftext|>.X İİ",
+    "don't  stop 12345 \x1cа\x1f 漢字かな 🙂🙂 ﬁ ŉ İ", "word " * 3000, "über STRASSE straße Öl ñandú приветствие Москва λόγος ÿ ÷ × ŝ", "x" * 5000, "á ́b", "﻿a\x00b",
 ]
 
 

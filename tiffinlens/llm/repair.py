@@ -18,7 +18,7 @@ from .flat import places, starts_of
 
 # A rule takes two symbols and a length, so a pair pays from about this many occurrences on.
 LEAST = 8
-STEP = 4
+STEP = 8
 # Rounds end when the last one made the sequence shorter by less than this part.
 GAIN = 1 / 100
 
@@ -47,10 +47,10 @@ class Shard:
 def _unlike(weight: np.ndarray) -> np.ndarray:
     """Which pair positions to replace: no two neighbours, the heavier one of two that meet, runs from their start."""
     n = len(weight)
-    place = np.arange(n)
+    place = np.arange(n, dtype=np.int32)
     begins = np.ones(n, bool)
     begins[1:] = weight[1:] != weight[:-1]
-    inside = place - np.maximum.accumulate(np.where(begins, place, 0))
+    inside = place - np.maximum.accumulate(np.where(begins, place, np.int32(0)))
     open_ = (weight > 0) & (inside % 2 == 0)
     chosen = open_.copy()
     meet = open_[1:] & open_[:-1]
@@ -59,47 +59,58 @@ def _unlike(weight: np.ndarray) -> np.ndarray:
     return chosen
 
 
+def _pairs(symbols: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of each pair of neighbours, left and right symbols by number); symbols are below ``top``."""
+    if top <= 1 << 16:
+        codes = (symbols[:-1] << np.uint32(16)) | symbols[1:]
+    else:
+        codes = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
+    met = pa.array(codes).dictionary_encode()
+    known = met.dictionary.to_numpy()
+    half = known.dtype.type(known.itemsize * 4)
+    return met.indices.to_numpy(zero_copy_only=False), known >> half, known & known.dtype.type((1 << int(half)) - 1)
+
+
 def compress(ids: np.ndarray, base: int, least: int = LEAST) -> Shard:
     """The grammar of ``ids``, all of which are below ``base``."""
-    symbols = ids.astype(np.int64)
+    symbols = ids.astype(np.uint32)
     left, right = np.zeros(0, np.int64), np.zeros(0, np.int64)
     bar = None
     while len(symbols) > 1:
-        met = pa.array((symbols[:-1] << 32) | symbols[1:]).dictionary_encode()
-        pair = met.indices.to_numpy(zero_copy_only=False)
+        pair, lefts, rights = _pairs(symbols, base + len(left))
         counts = np.bincount(pair)
-        bar = max(least, int(counts.max()) // STEP if bar is None else bar // STEP)
-        if counts.max() < bar and bar > least:
-            continue
-        frequent = np.flatnonzero(counts >= bar)
-        if not len(frequent):
+        most = int(counts.max())
+        if most < least:
             break
+        bar = max(least, min(most, bar or most) // STEP)
+        frequent = np.flatnonzero(counts >= bar)
         weight = np.zeros(len(counts), np.int32)
         weight[frequent[np.argsort(counts[frequent], kind="stable")]] = np.arange(1, len(frequent) + 1)
         chosen = np.flatnonzero(_unlike(weight[pair]))
         used = np.bincount(pair[chosen], minlength=len(counts))
         worth = used >= max(2, least // 2)
-        chosen = chosen[worth[pair[chosen]]]
         rules = np.flatnonzero(worth)
         if not len(rules):
             if bar == least:
                 break
             continue
-        codes = met.dictionary.to_numpy()[rules]
-        symbol = np.zeros(len(counts), np.int64)
+        chosen = chosen[worth[pair[chosen]]]
+        symbol = np.zeros(len(counts), np.uint32)
         symbol[rules] = base + len(left) + np.arange(len(rules))
-        left, right = np.concatenate([left, codes >> 32]), np.concatenate([right, codes & 0xFFFFFFFF])
+        left, right = np.concatenate([left, lefts[rules]]), np.concatenate([right, rights[rules]])
         before = len(symbols)
         symbols[chosen] = symbol[pair[chosen]]
-        symbols = np.delete(symbols, chosen + 1)
+        kept = np.ones(before, bool)
+        kept[chosen + 1] = False
+        symbols = symbols[kept]
         if bar == least and before - len(symbols) < before * GAIN:
             break
-    return Shard(base, left, right, _lengths(left, right, base), symbols)
+    return Shard(base, left.astype(np.int64), right.astype(np.int64), _lengths(left, right, base), symbols)
 
 
 def _lengths(left: np.ndarray, right: np.ndarray, base: int) -> np.ndarray:
     out: list[int] = []
-    for a, b in zip((left - base).tolist(), (right - base).tolist()):
+    for a, b in zip((left.astype(np.int64) - base).tolist(), (right.astype(np.int64) - base).tolist()):
         out.append((out[a] if a >= 0 else 1) + (out[b] if b >= 0 else 1))
     return np.array(out, np.int64)
 

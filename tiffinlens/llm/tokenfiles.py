@@ -21,6 +21,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +39,11 @@ from .staging import staged
 
 MAGIC = b"REPAIR01"
 HEAD = np.dtype([("documents", "<u4"), ("shards", "<u4"), ("range", "<u8"), ("first", "<u8"), ("ids", "<u8")])
-SHARD = 1 << 20
+SHARD = 1 << 19
 # Ids after which a file ends, at the next document: what bounds memory while writing and reading.
 FILE_IDS = 1 << 23
 # Characters of the texts encoded at once.
-BATCH = 1 << 22
+BATCH = 1 << 23
 
 
 @cache
@@ -53,22 +54,71 @@ def _tokenizer(content: str):
     return Tokenizer.from_str(content)
 
 
+@cache
+def _merges(content: str):
+    """(the tokenizer, splitting at spaces and nothing else; which ids end a word)."""
+    from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
+
+    model = _tokenizer(content).model
+    out = Tokenizer(model)
+    out.pre_tokenizer = Sequence([Split(" ", "removed"), ByteLevel(add_prefix_space=False, use_regex=False)])
+    ends = np.zeros(out.get_vocab_size(), bool)
+    ends[[i for token, i in out.get_vocab().items() if token.endswith(model.end_of_word_suffix)]] = True
+    return out, ends
+
+
+# Letters that normalising and splitting leave as they are: Latin, Cyrillic and Greek ones in lower case.
+LETTERS = "^[a-zß-öø-ÿа-яα-ω]+$"
+# Words of them that are handed over at once.
+JOINED = 128
+# Marks that the file's pattern always parts from a letter before them.
+STOPS = r"([A-Za-z])([.,;:!?])"
+
+
+def _encode_words(words: pa.Array, content: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(all ids, where each word's begin, ids per word) of distinct words; those of LETTERS alone go to the merges at once."""
+    plain = pc.match_substring_regex(words, LETTERS).to_numpy(zero_copy_only=False)
+    order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+    cut = int(plain.sum())
+    some = words.take(pa.array(order)).to_pylist()
+    merges, ends = _merges(content)
+    joined = [" ".join(some[at : min(at + JOINED, cut)]) for at in range(0, cut, JOINED)]
+    first = _ids(merges.encode_batch_fast(joined, add_special_tokens=False))
+    rest = [e.ids for e in _tokenizer(content).encode_batch_fast(some[cut:], add_special_tokens=False)]
+    sizes = np.concatenate([np.diff(np.flatnonzero(ends[first]), prepend=-1), np.fromiter(map(len, rest), np.int64, len(rest))])
+    starts, lengths = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    starts[order], lengths[order] = starts_of(sizes)[:-1], sizes
+    return np.concatenate([first, np.array(list(chain.from_iterable(rest)), np.uint32)]), starts, lengths
+
+
+def _ids(found: list) -> np.ndarray:
+    return np.array(list(chain.from_iterable(e.ids for e in found)), np.uint32)
+
+
 def encode(texts: pa.Array, content: str) -> tuple[np.ndarray, np.ndarray]:
-    """(all ids, ids per text) by a tokenizer file that drops white space.
+    """(all ids, ids per text) by a tokenizer file that folds case and drops white space.
 
-    Words between white space are encoded alone: no token and no special token
-    goes over white space, and normalising does not either. Words that come up
-    again are encoded once.
+    Words between white space are encoded alone, and so are stops behind letters:
+    no token and no special token goes over such a place, and normalising does not
+    either. Words that come up again are encoded once.
     """
     split = pc.ascii_split_whitespace(texts.fill_null(""))
     words = split.flatten().dictionary_encode()
-    known = _tokenizer(content).encode_batch_fast(words.dictionary.to_pylist(), add_special_tokens=False)
-    lengths = np.array([len(k) for k in known], np.int64)
-    table = np.fromiter((i for k in known for i in k.ids), np.int64, int(lengths.sum()))
-    word = words.indices.to_numpy(zero_copy_only=False)
-    ids = table[places(starts_of(lengths)[:-1][word], lengths[word])]
-    bounds = starts_of(pc.list_value_length(split).to_numpy(zero_copy_only=False))
-    return ids, np.diff(starts_of(lengths[word])[bounds])
+    # ASCII letters only: what folding does to others, the tokenizer knows. Special tokens are told before folding.
+    known = words.dictionary
+    folded = pc.if_else(pc.match_substring(known, "<|"), known, pc.ascii_lower(known))
+    parted = pc.ascii_split_whitespace(pc.replace_substring_regex(folded, STOPS, r"\1 \2"))
+    parts = parted.flatten().dictionary_encode()
+    table, starts, lengths = _encode_words(parts.dictionary, content)
+    for codes, number in ((parts, parted), (words, split)):
+        # The ids of each part of a word, then of each word of a text.
+        code = codes.indices.to_numpy(zero_copy_only=False)
+        table = table[places(starts[code], lengths[code])]
+        bounds = starts_of(pc.list_value_length(number).to_numpy(zero_copy_only=False))
+        starts = starts_of(lengths[code])[bounds]
+        lengths, starts = np.diff(starts), starts[:-1]
+    return table, lengths
 
 
 @dataclass
