@@ -25,6 +25,14 @@ def sides():
         return alignment.byte_level(one.read()), alignment.pieces(two.read())
 
 
+@pytest.fixture(scope="module", params=[300_000, 7])
+def known(sides, request):
+    """What a task remembers, over all texts tried; with little room it forgets now and then."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(alignment, "KEPT", request.param)
+        yield alignment.Known(sides)
+
+
 @pytest.fixture(scope="module")
 def libraries():
     one = Tokenizer.from_file(BYTES)
@@ -93,7 +101,7 @@ ODD = [
 
 def test_units_encoded_alone_are_whole_texts_encoded(sides, libraries):
     texts = [t or "" for t in ODD]
-    found = alignment.tokens(pa.array(texts), sides)
+    found = alignment.tokens(pa.array(texts), alignment.Known(sides))
     for side, tokens in enumerate(found):
         want = [coded(t, libraries)[side] for t in texts]
         assert tokens.number.tolist() == [len(w) for w in want]
@@ -103,8 +111,8 @@ def test_units_encoded_alone_are_whole_texts_encoded(sides, libraries):
 
 @given(st.lists(st.text(" a\nb\t1'.é漢 ", max_size=40), max_size=6))
 @settings(max_examples=60, deadline=None)
-def test_any_texts(sides, libraries, texts):
-    a, b = alignment.tokens(pa.array(texts, pa.string()), sides)
+def test_any_texts(known, libraries, texts):
+    a, b = alignment.tokens(pa.array(texts, pa.string()), known)
     found = alignment.groups(a, b)
     want = [grouped(*coded(t, libraries)) for t in texts]
     assert np.bincount(found.text, minlength=len(texts)).tolist() == [len(w) for w in want]

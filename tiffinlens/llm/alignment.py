@@ -14,10 +14,10 @@ chunk and not once per document, and comes back with its count the same way.
 from __future__ import annotations
 
 import hashlib
-import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -35,16 +35,25 @@ from .flat import places, starts_of
 from .staging import staged
 
 # Characters of a chunk's texts; one longer text is a chunk of its own.
-CHUNK = 1 << 23
+CHUNK = 1 << 21
+# Units that the byte-level tokenizer takes at once.
+JOINED = 64
+# Units a task remembers.
+KEPT = 300_000
 # Groups of more links than this are counted by distinct ids, not link by link.
 LARGE = 1 << 16
 
 
 class Side(NamedTuple):
-    """A tokenizer: what encodes words, and the bytes of its tokens end to end."""
+    """A tokenizer: ``encode`` gives all ids of a list of units and how many each unit has; the bytes of each id; their number."""
 
-    encode: object
+    encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
     table: list[bytes]
+    sizes: np.ndarray
+
+
+def _side(encode, table: list[bytes]) -> Side:
+    return Side(encode, table, np.array([len(t) for t in table], np.int64))
 
 
 @cache
@@ -60,10 +69,25 @@ def byte_level(content: str) -> Side:
     for token, place in run.get_vocab(with_added_tokens=True).items():
         table[place] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
 
-    def encode(units: list[str]) -> list[list[int]]:
-        return [e.ids for e in run.encode_batch_fast(units, add_special_tokens=False)]
+    sizes = np.array([len(t) for t in table], np.int64)
+
+    def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Units are encoded some at a time, as they might stand in a text: none but the last of them ends in white space.
+
+        The tokens have the units' bytes, so each unit's end is the end of a token.
+        """
+        ended = [i + 1 for i, u in enumerate(units) if not u[-1:].isprintable() or u[-1:].isspace()]
+        cuts = sorted({*range(0, len(units), JOINED), *ended, len(units)})
+        joined = ["".join(units[a:b]) for a, b in zip(cuts, cuts[1:])]
+        ids = _flat_ids([e.ids for e in run.encode_batch_fast(joined, add_special_tokens=False)])
+        ends = np.cumsum(np.fromiter((len(u.encode()) for u in units), np.int64, len(units)))
+        return ids, np.diff(np.searchsorted(np.cumsum(sizes[ids]), ends, "right"), prepend=0)
+
+    return _side(encode, table)
+
 
-    return Side(encode, table)
+def _flat_ids(lists: list[list[int]]) -> np.ndarray:
+    return np.array(list(chain.from_iterable(lists)), np.int32)
 
 
 @cache
@@ -79,10 +103,11 @@ def pieces(content: bytes) -> Side:
     if any(b" " in token.lstrip(b" ") for token in table):
         raise ValueError("words cannot be encoded alone: a piece goes on over a space")
 
-    def encode(units: list[str]) -> list[list[int]]:
-        return run.encode([u[1:] for u in units], num_threads=1)
+    def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = run.encode([u[1:] for u in units], num_threads=1)
+        return _flat_ids(ids), np.fromiter(map(len, ids), np.int64, len(ids))
 
-    return Side(encode, table)
+    return _side(encode, table)
 
 
 def _units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -124,30 +149,60 @@ class Tokens(NamedTuple):
     ends: np.ndarray
 
 
-def tokens(texts: pa.Array, sides: tuple[Side, Side]) -> tuple[Tokens, Tokens]:
+def _fitting(units: list[str], found: tuple[np.ndarray, np.ndarray], side: Side) -> np.ndarray:
+    """Which units' tokens have the unit's bytes."""
+    told = [side.table[i] for i in found[0].tolist()]
+    if b"".join(told) == "".join(units).encode():
+        return np.ones(len(units), bool)
+    ends = starts_of(found[1]).tolist()
+    return np.array([b"".join(told[a:b]) == u.encode() for u, a, b in zip(units, ends, ends[1:])], bool)
+
+
+class Known:
+    """Units that a task has met, with both tokenizers' ids, and whether these have the unit's bytes; KEPT of them at most."""
+
+    def __init__(self, sides: tuple[Side, Side]) -> None:
+        self.sides = sides
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.fits = np.zeros(0, bool)
+        self.ids = [np.zeros(0, np.int32)] * 2
+        self.lengths = [np.zeros(0, np.int64)] * 2
+
+    def numbers(self, units: list[str]) -> np.ndarray:
+        """The units' places, those not met before encoded now."""
+        new = [u for u in units if u not in self.number]
+        if len(self.number) + len(new) > KEPT and self.number:
+            self._forget()
+            new = units
+        fits = np.ones(len(new), bool)
+        for i, side in enumerate(self.sides):
+            ids, lengths = side.encode(new)
+            fits &= _fitting(new, (ids, lengths), side)
+            self.ids[i] = np.concatenate([self.ids[i], ids])
+            self.lengths[i] = np.concatenate([self.lengths[i], lengths])
+        self.fits = np.concatenate([self.fits, fits])
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        return np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
+
+
+def tokens(texts: pa.Array, known: Known) -> tuple[Tokens, Tokens]:
     """Both tokenizers' tokens of each text; none where the text is empty or a side's bytes differ from it."""
     units, number = _units(texts)
     coded = units.dictionary_encode()
-    plain, code = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
-    found, fits = [], np.ones(len(plain), bool)
-    raw = [u.encode() for u in plain]
-    for side in sides:
-        ids = side.encode(plain)
-        table = side.table
-        fits &= np.fromiter((b"".join([table[i] for i in x]) == r for x, r in zip(ids, raw)), bool, len(plain))
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        found.append((np.fromiter((i for x in ids for i in x), np.int64, int(lengths.sum())), lengths))
+    code = known.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
     text = np.repeat(np.arange(len(number)), number)
-    whole = np.bincount(text, ~fits[code], len(number)) == 0
+    whole = np.bincount(text, ~known.fits[code], len(number)) == 0
     whole &= pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False) > 0
     kept = whole[text]
     text, code = text[kept], code[kept]
     out = []
-    for (flat, lengths), side in zip(found, sides):
+    for flat, lengths, side in zip(known.ids, known.lengths, known.sides):
         ids = flat[places(starts_of(lengths)[:-1][code], lengths[code])]
-        sizes = np.fromiter(map(len, side.table), np.int64, len(side.table))
         per_text = np.bincount(text, lengths[code], len(number)).astype(np.int64)
-        out.append(Tokens(ids, per_text, np.cumsum(sizes[ids])))
+        out.append(Tokens(ids, per_text, np.cumsum(side.sizes[ids])))
     return out[0], out[1]
 
 
@@ -232,11 +287,11 @@ def links(a: Tokens, b: Tokens, found: Groups) -> tuple[np.ndarray, np.ndarray,
     wide_ = np.repeat(wide, size)
     left = a.ids[np.repeat(found.a[small], size) + inside // wide_]
     right = b.ids[np.repeat(found.b[small], size) + inside % wide_]
-    text, pair, times = [np.repeat(found.text[small], size)], [(left << 32) | right], [np.ones(len(left), np.int64)]
+    text, pair, times = [np.repeat(found.text[small], size)], [(left.astype(np.int64) << 32) | right], [np.ones(len(left), np.int64)]
     for g in np.flatnonzero(number > LARGE).tolist():
         ones, n = np.unique(a.ids[found.a[g] : found.a[g] + found.a_size[g]], return_counts=True)
         others, m = np.unique(b.ids[found.b[g] : found.b[g] + found.b_size[g]], return_counts=True)
-        pair.append(((ones[:, None] << 32) | others).ravel())
+        pair.append(((ones.astype(np.int64)[:, None] << 32) | others).ravel())
         times.append((n[:, None] * m).ravel())
         text.append(np.full(len(pair[-1]), found.text[g]))
     return np.concatenate(text), np.concatenate(pair), np.concatenate(times)
@@ -251,7 +306,7 @@ def written(a: Tokens, b: Tokens, found: Groups, texts: int) -> list[bytes]:
     begins[0::2], begins[1::2] = found.a, found.b + len(a.ids)
     ids = np.concatenate([a.ids, b.ids])[places(begins, sizes)]
     # What follows a token: a comma, a bar behind the last of a, a semicolon behind the last of b.
-    after = np.zeros(len(ids), np.int64)
+    after = np.zeros(len(ids), np.int32)
     last = np.cumsum(sizes) - 1
     after[last[0::2]], after[last[1::2]] = 1, 2
     code = ids * 3 + after
@@ -296,10 +351,10 @@ def _table(rows: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=_CHUNKS)
 
 
-def aligned_chunk(chunk: int, numbers: pa.Array, texts: pa.Array, sides: tuple[Side, Side]) -> Iterator[pa.RecordBatch]:
+def aligned_chunk(chunk: int, numbers: pa.Array, texts: pa.Array, known: Known) -> Iterator[pa.RecordBatch]:
     """A chunk's rows: one per document, and one per pair that it links, placed from 0."""
     n = len(texts)
-    a, b = tokens(texts, sides)
+    a, b = tokens(texts, known)
     found = groups(a, b)
     text, pair, times = links(a, b, found)
     coded = pa.array(pair).dictionary_encode()
@@ -366,10 +421,10 @@ def _flat(column: pa.Array | pa.ChunkedArray) -> pa.Array:
 
 def _aligner(bytes_shared, pieces_shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = byte_level(bytes_shared.value), pieces(pieces_shared.value)
+        known = Known((byte_level(bytes_shared.value), pieces(pieces_shared.value)))
         for number, (numbers, texts) in enumerate(_chunks(batches)):
             chunk = (TaskContext.get().partitionId() << 32) + number
-            yield from aligned_chunk(chunk, _flat(numbers), _flat(texts).fill_null(""), sides)
+            yield from aligned_chunk(chunk, _flat(numbers), _flat(texts).fill_null(""), known)
 
     return run
 
