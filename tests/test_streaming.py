@@ -140,3 +140,121 @@ def test_scratch_files_go_to_the_shared_folder(spark):
     kept = settle(spark.range(5).select((F.col("id") * 2).alias("x")))
     assert sorted(r.x for r in kept.collect()) == [0, 2, 4, 6, 8]
     assert folder in spark.sparkContext.getCheckpointDir()
+
+
+@pytest.fixture(scope="module")
+def snapshots(spark):
+    return b.snapshots(spark, SMALL).cache()
+
+
+def log_of(spark, stream, stored, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    query = feeds.start_status_log(stream, lambda s: s.read.parquet(stored), out, checkpoint)
+    query.awaitTermination()
+    assert query.exception() is None
+    return feeds.status_log_of(spark, out), query
+
+
+def test_status_log_without_old_images(spark, snapshots, tmp_path):
+    """Files hold rows of all times, so most rows come late; then a restart with what else arrives."""
+    stored = str(tmp_path / "in")
+    first = snapshots.filter("seq % 7 <> 0")
+    stream = in_files(first, stored, 4)
+    found, query = log_of(spark, stream, stored, tmp_path)
+    finish(query)
+    same(found, changefeed.status_log(changefeed.with_old_status(first)))
+    snapshots.filter("seq % 7 = 0").write.mode("append").parquet(stored)
+    found, _ = log_of(spark, stream, stored, tmp_path)
+    same(found, changefeed.status_log(changefeed.with_old_status(snapshots)))
+
+
+def snapshot_rows(spark, rows):
+    frame = spark.createDataFrame(rows, "seq long, order_id long, new_status string")
+    return frame.withColumn("changed_at", F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, seq)"))
+
+
+@pytest.mark.parametrize("recent", [1, 2, 64])
+def test_rows_older_than_the_state_are_replayed(spark, tmp_path, monkeypatch, recent):
+    """An endless order, rows that repeat, a row with no status, a late row that makes a log row go."""
+    monkeypatch.setattr(feeds, "RECENT", recent)
+    # Workers get the function by value here, its bound included.
+    monkeypatch.setattr(feeds._follow, "__module__", "__main__")
+    batches = [
+        [(10, 1, "placed"), (30, 1, "preparing"), (50, 1, "delivered"), (5, 2, "placed")],
+        [(20, 1, "preparing"), (30, 1, "preparing"), (60, 1, None), (70, 1, "delivered")],
+        [(1, 1, "delivered"), (65, 1, "delivered"), (4, 2, "confirmed"), (8, 3, "placed")],
+        [(300 + i, 9, ("placed", "confirmed", "confirmed")[i % 3]) for i in range(200)],
+        [(200 + i, 9, ("ready", "placed")[i % 2]) for i in range(60)],
+    ]
+    stored = str(tmp_path / "in")
+    for rows in batches:
+        snapshot_rows(spark, rows).coalesce(1).write.mode("append").parquet(stored)
+    schema = snapshot_rows(spark, batches[0]).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(stored)
+    found, _ = log_of(spark, stream, stored, tmp_path)
+    whole = spark.read.parquet(stored).dropDuplicates(["seq"])
+    same(found, changefeed.status_log(changefeed.with_old_status(whole)))
+
+
+def test_only_ranges_of_the_batch_are_read(spark, tmp_path, monkeypatch):
+    ids = [1, 2, 5 * feeds.INVOICE_RANGE, 9 * feeds.INVOICE_RANGE + 3, 12 * feeds.INVOICE_RANGE]
+    path = str(tmp_path / "issued")
+    frame = spark.createDataFrame([(i,) for i in ids], "order_id long").withColumn("orders_from", feeds._range_of("order_id"))
+    frame.write.partitionBy("orders_from").parquet(path)
+    stored = spark.read.schema("order_id long, orders_from long").parquet(path)
+    touched = frame.filter(F.col("order_id").isin(2, 12 * feeds.INVOICE_RANGE)).select("orders_from").distinct()
+    for named in (256, 0):
+        monkeypatch.setattr(feeds, "NAMED_RANGES", named)
+        found = feeds.in_ranges(stored, touched)
+        assert sorted(r.order_id for r in found.collect()) == [1, 2, 12 * feeds.INVOICE_RANGE]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in plan and ("dynamicpruning" in plan or " IN (" in plan)
+    assert feeds.in_ranges(stored, touched.limit(0)).count() == 0
+
+
+def days_left(query):
+    return [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+
+
+def orders_of_days(spark, rows):
+    frame = spark.createDataFrame(rows, "order_id long, day int, hour int, customer_id long, order_status string, amount int")
+    return frame.selectExpr(
+        "order_id",
+        "customer_id",
+        "order_status",
+        "timestamp_ntz '2024-01-01' + make_dt_interval(day, hour, 0, 0) as placed_at",
+        "cast(amount as decimal(10,2)) as total_amount",
+    )
+
+
+def test_daily_view_with_days_that_close(spark, tmp_path):
+    """Days go by, many customers each; rows come days late, one for a day never seen; then a restart."""
+    stored, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "c"))
+    status = ("delivered", "cancelled", "placed")
+
+    def day(d, hour=9, n=30, first=0):
+        return [(1000 * d + first + i, d, hour, i % 20 if i % 7 else None, status[i % 3], 10 + i) for i in range(n)]
+
+    late = [(90_001, 2, 1, 77, "delivered", 5), (90_002, 2, 23, 1, None, None), (90_003, -40, 0, 3, "delivered", 7)]
+    files = [day(0), day(1) + day(0, 23, 3, 500), day(2), day(3), day(4) + late, day(9), day(1, 5, 4, 700), day(10)]
+    for rows in files[:6]:
+        orders_of_days(spark, rows).coalesce(1).write.mode("append").parquet(stored)
+    schema = orders_of_days(spark, late).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(stored)
+
+    def run():
+        running, correcting = feeds.start_daily_kpi(stream, lambda s: s.read.parquet(stored), out, checkpoint, "1 day")
+        for query in (running, correcting):
+            query.awaitTermination()
+            assert query.exception() is None
+        return running
+
+    held = days_left(run())
+    # Two open days of some twenty customers at most, however many days went by; in the end one.
+    assert max(held) <= 3 * 22 and held[-1] <= 22
+    same(feeds.daily_kpi_now(spark, out), daily_kpi(spark.read.parquet(stored)))
+    for rows in files[6:]:
+        orders_of_days(spark, rows).coalesce(1).write.mode("append").parquet(stored)
+    held = days_left(run())
+    assert max(held) <= 3 * 22
+    same(feeds.daily_kpi_now(spark, out), daily_kpi(spark.read.parquet(stored)))

@@ -116,6 +116,13 @@ def _status_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/rows")
 
 
+def _status_log_snapshots_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "status-log")
+    feed = b.snapshots_of(b.stream(spark, sf_dir, "events"))
+    _finished(feeds.start_status_log(feed, lambda s: b.snapshots(s, sf_dir), f"{path}/log", f"{path}/checkpoint"))
+    return feeds.status_log_of(spark, f"{path}/log")
+
+
 def _invoices_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = b.imaged(b.snapshots_of(b.stream(spark, sf_dir, "events")))
     path = scratch_path(spark, "invoices")
@@ -155,6 +162,14 @@ def _daily_kpi_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.daily_kpi_of(rows)
 
 
+def _daily_kpi_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = b.orders_of(b.stream(spark, sf_dir, "orders"))
+    path = scratch_path(spark, "daily-bounded")
+    for query in feeds.start_daily_kpi(orders, lambda s: b.orders(s, sf_dir), f"{path}/rows", f"{path}/checkpoint"):
+        _finished(query)
+    return feeds.daily_kpi_now(spark, f"{path}/rows")
+
+
 def _daily_kpi_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = b.orders_of(b.stream(spark, sf_dir, "orders"))
     path = scratch_path(spark, "daily-exact")
@@ -381,8 +396,10 @@ QUERIES: dict[str, Query] = {
     "v2_daily_kpi": lambda s, d: views.daily_kpi(b.orders(s, d)),
     "v2_daily_kpi_stream": _daily_kpi_stream,
     "v2_daily_kpi_stream_exact": _daily_kpi_recompute,
+    "v2_daily_kpi_stream_bounded": _daily_kpi_bounded,
     "t1_status_log": lambda s, d: changefeed.status_log(_changes(s, d)),
     "t1_status_log_stream": _status_log_stream,
+    "t1_status_log_snapshots_stream": _status_log_snapshots_stream,
     "t2_invoices": lambda s, d: changefeed.new_invoices(_changes(s, d)),
     "t2_invoices_stream": _invoices_stream,
     "t3_restaurant_ratings": lambda s, d: changefeed.restaurant_ratings(b.reviews(s, d), b.restaurants(s, d)),
