@@ -41,11 +41,16 @@ def write_bucketed(rows: DataFrame, table: str, key: str, buckets: int, mode: st
     rows.write.mode(mode).bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
 
 
+def first_of_each(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """Of rows with equal keys the lowest by ``order``."""
+    rest = [c for c in rows.columns if c != key]
+    first = rows.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("first"))
+    return first.select(key, "first.*").select(*rows.columns)
+
+
 def insert_absent(current: DataFrame, fresh: DataFrame, key: str, order: str) -> DataFrame:
     """Rows of ``fresh`` whose key is not in ``current`` yet, ready to append: of equal keys the lowest by ``order``."""
-    rest = [c for c in fresh.columns if c != key]
-    first = fresh.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("first"))
-    return first.join(current.select(key), key, "left_anti").select(key, "first.*").select(*fresh.columns)
+    return first_of_each(fresh, key, order).join(current.select(key), key, "left_anti").select(*fresh.columns)
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:

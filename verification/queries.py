@@ -23,6 +23,7 @@ from tiffinlens.operators import (
 )
 from tiffinlens.plans.lineage import scratch_path
 from tiffinlens.session import tune
+from tiffinlens.sources import stores
 from tiffinlens.sources.tables import insert_absent, register_views, write_by_month
 from tiffinlens.streaming import feeds
 
@@ -198,39 +199,6 @@ def _purge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts, held)
 
 
-def _rows_left(tables: dict[str, DataFrame], root: str, erase: DataFrame, ids: dict[str, str]) -> DataFrame:
-    left, _ = audits.purge(tables, root, erase)
-    return reduce(
-        DataFrame.unionByName,
-        [left[name].select(F.lit(name).alias("table_name"), F.col(key).cast("bigint").alias("id")) for name, key in ids.items()],
-    )
-
-
-def _purge_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ask to erase every customer: those with open orders stay, and whose address one goes to."""
-    tables = {name: getattr(b, name)(spark, sf_dir) for name in ("customers", "customer_addresses", "orders")}
-    tables["orders"] = tables["orders"].where("order_status = 'placed'")
-    return _rows_left(
-        tables,
-        "customers",
-        tables["customers"].select("customer_id"),
-        {"customers": "customer_id", "customer_addresses": "address_id"},
-    )
-
-
-def _purge_restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ask to erase every restaurant: those with large open orders or items in the largest lines stay."""
-    tables = {name: getattr(b, name)(spark, sf_dir) for name in ("restaurants", "restaurant_cuisines", "menu_items")}
-    tables["orders"] = b.orders(spark, sf_dir).where("order_status = 'placed' and total_amount > 450000")
-    tables["order_items"] = b.order_items(spark, sf_dir).where("item_total > 104900")
-    return _rows_left(
-        tables,
-        "restaurants",
-        tables["restaurants"].select("restaurant_id"),
-        {"restaurants": "restaurant_id", "restaurant_cuisines": "restaurant_id", "menu_items": "item_id"},
-    )
-
-
 # Added to an id, it makes that of a newcomer whom no given order knows.
 NEWCOMER = 1_000_000_000
 
@@ -353,6 +321,52 @@ def _insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insert_absent(b.agents(spark, sf_dir), fresh, "agent_id", "seq")
 
 
+def _updated_in_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status updates set in a table stored by month, and the whole table read back."""
+    path = scratch_path(spark, "orders-by-month")
+    write_by_month(b.orders(spark, sf_dir), path)
+    result = _updated(spark, sf_dir, True)
+    fresh = result.orders.join(result.changes.select("order_id").distinct(), "order_id", "left_semi")
+    stores.update_stored(spark, path, fresh, "order_id", ["order_status", "delivered_at"])
+    return spark.read.parquet(path).select("order_id", "order_status", "delivered_at")
+
+
+def _daily_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored daily view after a batch of updates, of which it computes the days anew."""
+    path = scratch_path(spark, "daily-view")
+    orders = b.orders(spark, sf_dir)
+    stores.refresh_daily_view(orders, orders, path)
+    result = _updated(spark, sf_dir, True)
+    stores.refresh_daily_view(result.orders, result.changes.select("order_id").distinct(), path)
+    return spark.read.parquet(path).drop("order_day")
+
+
+def _inserted_in_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agents stored first, then whoever sends an event, unless the id is taken: those that were added."""
+    path = scratch_path(spark, "agents")
+    fresh = b.snapshots(spark, sf_dir).select(
+        F.col("order_id").alias("agent_id"), F.col("changed_at").alias("created_at"), "seq"
+    )
+    first = b.agents(spark, sf_dir).select("agent_id", F.lit(None).cast(fresh.schema["created_at"].dataType).alias("created_at"))
+    stores.insert_absent_stored(spark, path, first.withColumn("seq", F.lit(0).cast("long")), "agent_id", "seq", 0)
+    return stores.insert_absent_stored(spark, path, fresh, "agent_id", "seq", 1)
+
+
+def _positions_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "positions")
+    stores.write_by_day(b.locations(spark, sf_dir), path, "recorded_at")
+    return stores.latest_positions_stored(spark, path, b.agents(spark, sf_dir)).drop("order_id")
+
+
+def _coupon_uses_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running uses, their versions made one base version, which is all that is read."""
+    uses = b.order_coupons_of(b.stream(spark, sf_dir, "orders"))
+    path = scratch_path(spark, "coupons")
+    _finished(feeds.start_versioned(feeds.coupon_uses_stream(uses), f"{path}/rows", f"{path}/checkpoint"))
+    feeds.compact(spark, f"{path}/rows", f"{path}/base", "coupon_id")
+    return feeds.latest(spark, f"{path}/base", "coupon_id")
+
+
 def _audit(check) -> Query:
     return lambda spark, sf_dir: check(lambda table: getattr(b, table)(spark, sf_dir))
 
@@ -408,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "t4_agent_ratings_stream": _agent_ratings_stream,
     "t5_coupon_usage": lambda s, d: changefeed.coupon_usage(b.order_coupons(s, d), b.coupons(s, d)),
     "t5_coupon_usage_stream": _coupon_uses_stream,
+    "t5_coupon_usage_stream_compacted": _coupon_uses_compacted,
     "t6_delivered_at": lambda s, d: changefeed.delivered_at(_changes(s, d)),
     "p1_place_orders": lambda s, d: _placed(s, d).orders.select(
         "order_id",
@@ -472,13 +487,14 @@ QUERIES: dict[str, Query] = {
         lambda t: audits.amount_problems(t("orders"), t("collected_payments"), "amount")
     ),
     "c6_cascade_purge": _purge,
-    "c6_purge_customers": _purge_customers,
-    "c6_purge_restaurants": _purge_restaurants,
     "c6_purge_customers_whole": _purge_customers_whole,
     "c6_purge_restaurants_whole": _purge_restaurants_whole,
     "s1_view_scan": _view_scan,
     "s2_stored_by_month": _stored_by_month,
     "s3_insert_absent": _insert_absent,
+    "s3_insert_absent_stored": _inserted_in_store,
+    "s4_update_stored": _updated_in_store,
+    "s5_daily_view_refreshed": _daily_refreshed,
     "x1_bought_together": lambda s, d: menu.bought_together(b.order_items(s, d)),
     "x2_cohort_by_registration_month": lambda s, d: history.cohorts_by_registration(
         b.customers(s, d), b.orders(s, d)
@@ -494,6 +510,7 @@ QUERIES: dict[str, Query] = {
     ),
     "x7_cumulative_funnel": lambda s, d: history.cumulative_funnel(b.status_log(s, d)),
     "x8_strict_transitions": lambda s, d: history.strict_transitions(b.orders(s, d), b.status_updates(s, d)),
+    "x9_latest_position_stored": _positions_stored,
     "x9_latest_agent_position": lambda s, d: history.latest_agent_position(b.locations(s, d)).drop("order_id"),
 }
 
