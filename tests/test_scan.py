@@ -5,9 +5,16 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tiffinlens.plans import scan
 from tiffinlens.plans.scan import first_after, last_before, levels, running_sum_before, slice_of
 
 
+@pytest.fixture(autouse=True, params=[scan.WINDOW, 0], ids=["one window", "levels"])
+def window(request, monkeypatch):
+    """Each test with as few levels as will do, and with all of them."""
+    monkeypatch.setattr(scan, "WINDOW", request.param)
+
+
 def make(spark, seed, n=400, keys=3, spread=5000):
     rng = random.Random(seed)
     positions = rng.sample(range(-spread, spread), n)

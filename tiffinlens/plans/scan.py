@@ -13,7 +13,9 @@ Rows are shuffled by key and slice explicitly. Left to itself, Spark would keep
 partitioning by key alone, from a join before, and so keep a hot key in one task.
 
 ``rows`` is read twice (once for the rows, once pruned to the summary columns):
-settle an expensive input first.
+settle an expensive input first. The summaries are settled, so each is computed
+once; where they show that no key can have more than 2**16 of them, one window
+over them does, and no further level is built.
 """
 
 from __future__ import annotations
@@ -23,9 +25,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import settle
+
 SLICE_BITS = 16
 LEVEL_BITS = 16
 POSITION_BITS = 64
+# Slices that one window may run over.
+WINDOW = 1 << LEVEL_BITS
 
 
 def levels(bits: int = SLICE_BITS) -> list[int]:
@@ -57,8 +63,10 @@ def _carried(
     _slice; ``running`` runs over parts before a row, ``joined`` adds what comes
     from above to it.
     """
+    slices = settle(slices)
+    span = slices.agg(F.max("_slice") - F.min("_slice")).first()[0] or 0
     stages = [slices]
-    for _ in levels(bits)[1:]:
+    for _ in levels(bits)[1:] if span >= WINDOW else []:
         up = stages[-1].withColumn("_up", slice_of(F.col("_slice"), LEVEL_BITS))
         stages.append(up.groupBy(*keys, "_up").agg(gather("_slice").alias("_part")).withColumnRenamed("_up", "_slice"))
     top = stages.pop()

@@ -60,7 +60,7 @@ def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changefeed.with_old_status(b.snapshots(spark, sf_dir))
 
 
-def _placed(spark: SparkSession, sf_dir: str, settle: bool = False) -> intake.PlacedOrders:
+def _placed(spark: SparkSession, sf_dir: str, settle: bool = True) -> intake.PlacedOrders:
     return intake.place_orders(
         b.order_requests(spark, sf_dir),
         b.restaurants(spark, sf_dir),
@@ -70,19 +70,19 @@ def _placed(spark: SparkSession, sf_dir: str, settle: bool = False) -> intake.Pl
     )
 
 
-def _updated(spark: SparkSession, sf_dir: str, settle: bool = False) -> intake.StatusUpdates:
+def _updated(spark: SparkSession, sf_dir: str, settle: bool = True) -> intake.StatusUpdates:
     return intake.apply_status_updates(
         b.orders(spark, sf_dir), b.status_updates(spark, sf_dir), settle=settle
     )
 
 
-def _confirmed(spark: SparkSession, sf_dir: str, settle: bool = False) -> intake.ConfirmedPayments:
+def _confirmed(spark: SparkSession, sf_dir: str, settle: bool = True) -> intake.ConfirmedPayments:
     return intake.confirm_payments(
         b.payments(spark, sf_dir), b.orders(spark, sf_dir), b.confirmations(spark, sf_dir), settle=settle
     )
 
 
-def _assigned(spark: SparkSession, sf_dir: str, settle: bool = False) -> intake.AssignedAgents:
+def _assigned(spark: SparkSession, sf_dir: str, settle: bool = True) -> intake.AssignedAgents:
     return intake.assign_agents(
         b.orders(spark, sf_dir), b.agents(spark, sf_dir), b.assignments(spark, sf_dir), settle=settle
     )
