@@ -5,6 +5,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import xxhash
 
 BLANKS = r"[^\x20\x09-\x0D]+"
@@ -128,3 +129,29 @@ def tiktoken_encoding(path, pattern):
 
 def sha(data):
     return hashlib.sha256(data).hexdigest()
+
+
+def network_score(net, text):
+    """The network's probability for one text, position by position."""
+    from tiffinlens.llm import convnet as c
+
+    blocks = max(1, -(-len(text) // c.BLOCK))
+
+    def block(number):
+        sums, strings, used = np.zeros(net.bias.size), set(), 0
+        for i in range(number * c.BLOCK, min((number + 1) * c.BLOCK, len(text))):
+            window = [text[i + k] if i + k < len(text) else c.PAD for k in range(c.WIDTH)]
+            sums += np.maximum(sum(net.taps[k][b] for k, b in enumerate(window)) + net.bias, 0)
+            strings |= {text[i : i + 4]} if i + 4 <= len(text) else set()
+            used += 1
+        return sums, len(strings), used
+
+    found = [block(n) for n in range(blocks)]
+    best = None
+    for n in range(blocks):
+        pair = found[n : n + 2]
+        size = max(1, sum(p[2] for p in pair))
+        features = np.append(sum(p[0] for p in pair) / size, c.SHARE_SCALE * (sum(p[1] for p in pair) / size - 0.5))
+        units = np.maximum(features @ net.mix + net.mix_bias, 0)
+        best = units if best is None else np.maximum(best, units)
+    return float(1 / (1 + np.exp(-(best @ net.out + net.out_bias[0]))))

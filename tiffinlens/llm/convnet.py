@@ -84,42 +84,49 @@ def pair_tables(net: Network) -> list[np.ndarray]:
     ]
 
 
-def responses(tables: list[np.ndarray], bias: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """Rectified filter responses at all positions but the WIDTH look-ahead bytes."""
-    n = len(data) - WIDTH
-    wide = data.astype(np.int64)
-    pairs = wide[:-1] * 257 + wide[1:]
-    total = tables[0].take(pairs[:n], axis=0, mode="clip")
+def windows(layout: Layout, blocks: np.ndarray) -> np.ndarray:
+    """Bytes of each block and the WIDTH after it; behind the last block of a text there is only PAD."""
+    out = layout.data[blocks[:, None] * BLOCK + np.arange(BLOCK + WIDTH)[None, :]]
+    last = np.zeros(len(layout.used), bool)
+    last[layout.starts[1:] - 1] = True
+    out[last[blocks], BLOCK:] = PAD
+    return out
+
+
+def responses(tables: list[np.ndarray], bias: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    """Rectified filter responses at all positions of some blocks but the WIDTH look-ahead bytes."""
+    pairs = wide[:, :-1].astype(np.int64) * 257 + wide[:, 1:]
+    total = tables[0].take(pairs[:, :BLOCK], axis=0, mode="clip")
     for k in range(1, len(tables)):
-        total += tables[k].take(pairs[2 * k : n + 2 * k], axis=0, mode="clip")
+        total += tables[k].take(pairs[:, 2 * k : BLOCK + 2 * k], axis=0, mode="clip")
     total += bias
     np.maximum(total, 0, out=total)
-    total[data[:n] == PAD] = 0
+    total[wide[:, :BLOCK] == PAD] = 0
     return total
 
 
-def block_sums(net: Network, data: np.ndarray) -> np.ndarray:
+def block_sums(net: Network, layout: Layout) -> np.ndarray:
     """Summed responses of each block, computed a part of the buffer at a time."""
-    n = len(data) - WIDTH
-    step = BUFFER // 16
+    n, step = len(layout.used), BUFFER // 16 // BLOCK
     tables = pair_tables(net)
     parts = []
     for at in range(0, n, step):
-        live = responses(tables, net.bias, data[at : min(at + step, n) + WIDTH])
-        parts.append(np.add.reduceat(live, np.arange(0, len(live), BLOCK), axis=0))
+        live = responses(tables, net.bias, windows(layout, np.arange(at, min(at + step, n))))
+        parts.append(live.sum(axis=1))
     return np.concatenate(parts)
 
 
 def distinct_strings(layout: Layout) -> np.ndarray:
     """How many different four-byte strings begin in each block; strings over the text's end do not count."""
-    n = len(layout.data) - WIDTH
-    low = layout.data.astype(np.uint8).astype(np.uint32)
-    codes = (low[:n] << 24) | (low[1 : n + 1] << 16) | (low[2 : n + 2] << 8) | low[3 : n + 3]
+    wide = windows(layout, np.arange(len(layout.used)))
+    low = wide.astype(np.uint8).astype(np.uint32)
+    codes = low[:, :BLOCK] << 24
+    for k in range(1, 4):
+        codes |= low[:, k : BLOCK + k] << (24 - 8 * k)
     absent = np.uint32(0xFFFFFFFF)  # never UTF-8
-    codes[layout.data[:n] == PAD] = absent
-    blocks = codes.reshape(-1, BLOCK)
-    blocks.sort(axis=1)
-    return (1 + (blocks[:, 1:] != blocks[:, :-1]).sum(axis=1) - (blocks[:, -1] == absent)).astype(np.float32)
+    codes[wide[:, 3 : BLOCK + 3] == PAD] = absent
+    codes.sort(axis=1)
+    return (1 + (codes[:, 1:] != codes[:, :-1]).sum(axis=1) - (codes[:, -1] == absent)).astype(np.float32)
 
 
 def paired(values: np.ndarray, layout: Layout) -> np.ndarray:
@@ -136,7 +143,7 @@ def chunk_bytes(layout: Layout) -> np.ndarray:
 
 
 def chunk_features(net: Network, layout: Layout) -> np.ndarray:
-    sums = paired(block_sums(net, layout.data), layout)
+    sums = paired(block_sums(net, layout), layout)
     size = np.maximum(chunk_bytes(layout), 1)
     means = sums / size[:, None]
     share = SHARE_SCALE * (paired(distinct_strings(layout), layout) / size - 0.5)
@@ -234,14 +241,13 @@ def _gradients(net: Network, texts: list[bytes], marks: np.ndarray) -> list[np.n
     g_taps = np.zeros_like(net.taps)
     g_bias = np.zeros_like(net.bias)
     if len(touched):
-        places = (touched[:, None] * BLOCK + np.arange(BLOCK + WIDTH)[None, :])
-        windows = layout.data[places]
+        wide = windows(layout, touched)
         for k in range(net.bias.size):
-            total = sum(net.taps[j][:, k].take(windows[:, j : j + BLOCK]) for j in range(WIDTH)) + net.bias[k]
-            live = ((total > 0) & (windows[:, :BLOCK] != PAD)) * g_blocks[touched, k][:, None]
+            total = sum(net.taps[j][:, k].take(wide[:, j : j + BLOCK]) for j in range(WIDTH)) + net.bias[k]
+            live = ((total > 0) & (wide[:, :BLOCK] != PAD)) * g_blocks[touched, k][:, None]
             g_bias[k] = live.sum()
             for j in range(WIDTH):
                 g_taps[j, :, k] = np.bincount(
-                    windows[:, j : j + BLOCK].ravel(), weights=live.ravel(), minlength=257
+                    wide[:, j : j + BLOCK].ravel(), weights=live.ravel(), minlength=257
                 )
     return [g_taps, g_bias, g_mix, g_units.sum(axis=0), g_out, np.array([error.sum()], np.float32)]
