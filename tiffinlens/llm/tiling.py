@@ -9,7 +9,7 @@ the document holds it, in whatever order.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,8 @@ from .staging import staged
 
 # Tokens of a seed, and so of the shortest tile.
 SEED = 5
+# Tokens of the shortest item that is looked for.
+SHORTEST = 3
 # Share of an item's tokens that tiles must cover.
 COVERAGE = 0.5
 # First length searched; matches are found whole however long they are.
@@ -32,21 +34,30 @@ def tokens_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), TOKEN_BREAK), "")
 
 
-def _seeds(hashes: str, length: int) -> Column:
-    """Distinct hashes of all runs of ``length`` tokens; of the whole if there are fewer."""
+def _runs(hashes: str, length: int) -> Column:
+    """Hashes of all runs of ``length`` tokens."""
     runs = F.transform(
         F.sequence(F.lit(0), F.size(hashes) - length),
         lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(length)]),
     )
-    return F.when(F.size(hashes) >= length, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(hashes) >= length, runs).otherwise(F.array().cast("array<bigint>"))
 
 
-def seeds_of(texts: DataFrame, ids: list[str], text: str = "text", length: int = SEED) -> DataFrame:
-    """ids, seed: one row per different run of ``length`` tokens of a text."""
+def seeds_of(
+    texts: DataFrame, ids: list[str], text: str = "text", length: int = SEED, shorter: Sequence[int] = (), whole: bool = False
+) -> DataFrame:
+    """ids, seed: one row per different run of ``length`` or of ``shorter`` tokens of a text.
+
+    If ``whole``, shorter runs count only where they are all there is of the text.
+    """
+    runs = [_runs("__hashes", length)]
+    for n in shorter:
+        some = _runs("__hashes", n)
+        runs.append(F.when(F.size("__hashes") == n, some).otherwise(F.array().cast("array<bigint>")) if whole else some)
     return (
         texts.select(*ids, tokens_of(F.col(text)).alias("__tokens"))
         .select(*ids, F.transform("__tokens", lambda t: F.xxhash64(t)).alias("__hashes"))
-        .select(*ids, F.explode(_seeds("__hashes", length)).alias("seed"))
+        .select(*ids, F.explode(F.array_distinct(F.concat(*runs))).alias("seed"))
     )
 
 
@@ -120,8 +131,8 @@ def tiles(document: list[str], item: list[str], least: int = SEED) -> list[tuple
 
 
 def coverage_of(document: list[str], item: list[str], least: int = SEED) -> tuple[int, int]:
-    """(tokens of the item in tiles, tiles)."""
-    found = tiles(document, item, least)
+    """(tokens of the item in tiles, tiles); an item of fewer than ``least`` tokens is one tile or none."""
+    found = tiles(document, item, max(1, min(least, len(item))))
     return sum(n for _, _, n in found), len(found)
 
 
@@ -150,18 +161,21 @@ def contaminated(
 ) -> DataFrame:
     """doc_id, item_id, n_tokens, n_covered, n_tiles, coverage of pairs with enough of the item covered.
 
-    Items of fewer than ``least`` tokens, NULL and empty texts match nothing;
-    NULL ids are left out. Of rows that share an id and a text one counts; rows
+    An item of fewer than ``least`` tokens is found where it stands whole; one of
+    fewer than SHORTEST is a word or two that any text may have, and matches
+    nothing, as do NULL and empty texts. NULL ids are left out. Of rows that share an id and a text one counts; rows
     that share a doc_id with different texts are tiled each, and the pair has
     the highest coverage.
     """
     items = benchmark.where("item_id IS NOT NULL").select("item_id", "text").distinct()
     docs = documents.where("doc_id IS NOT NULL").select("doc_id", "text")
     # The join broadcasts the items' seeds only if they are below the session's threshold.
-    seeds = staged(seeds_of(items, ["item_id"], length=least), "seeds")
-    pairs = staged(
-        seeds_of(docs, ["doc_id"], length=least).join(seeds, "seed").select("doc_id", "item_id").distinct(), "pairs"
-    )
+    size = F.size(tokens_of(F.col("text")))
+    few = items.select(size.alias("n")).where(F.col("n").between(SHORTEST, least - 1)).distinct()
+    shorter = sorted(row.n for row in few.collect())  # lengths below ``least``
+    seeds = staged(seeds_of(items, ["item_id"], length=least, shorter=shorter, whole=True), "seeds")
+    found = seeds_of(docs, ["doc_id"], length=least, shorter=shorter)
+    pairs = staged(found.join(seeds, "seed").select("doc_id", "item_id").distinct(), "pairs")
     tokens = items.select("item_id", tokens_of(F.col("text")).alias("item"))
     tiled = (
         # Documents first, while the pairs' size is known: few pairs are broadcast and no text is shuffled.
