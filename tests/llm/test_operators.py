@@ -130,6 +130,18 @@ def test_scores_do_not_depend_on_company():
     assert np.allclose(convnet.score(network, texts), alone, atol=1e-5)
 
 
+@pytest.mark.parametrize("length", range(0, 193, 3))
+def test_scores_do_not_depend_on_neighbours(length):
+    network = convnet.untrained(6, 5, 2)
+    for n in range(length, min(length + 3, 193)):
+        text = some_words(n, 60).encode()[:n]
+        alone = convnet.score(network, [text])[0]
+        assert alone == pytest.approx(brute.network_score(network, text), abs=1e-5)
+        for neighbour in (b"zzzzzzzzzzzz", some_words(5, 90).encode(), bytes(range(97, 120)) * 9):
+            together = convnet.score(network, [neighbour, text, neighbour])
+            assert together[1] == pytest.approx(alone, abs=1e-7)
+
+
 def test_every_byte_of_a_text_counts():
     network = convnet.untrained(6, 5, 2)
     plain = some_words(4, 3000).encode()
@@ -255,6 +267,18 @@ def test_one_of_each_group_stays(documents, texts):
     assert sorted(i for i in ids if i is not None) == sorted(want) and ids.count(None) == 1
 
 
+def test_rows_that_share_an_id_are_decided_by_their_texts(spark):
+    """Texts A and B under one id, each a copy of another document: every group keeps its smallest."""
+    a, b, c = some_words(21, 40), some_words(22, 40), some_words(23, 40)
+    rows = [(3, b), (5, a), (5, b), (9, a), (11, c), (11, c), (12, c), (20, a + " x"), (None, c), (None, c)]
+    frame = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string").withColumn("__row", F.lit(1))
+    got = [(r.doc_id, r.text) for r in simhash.keep_first(frame).collect()]
+    assert sorted(got, key=str) == sorted([(3, b), (5, a), (11, c), (None, c), (None, c)], key=str)
+    # Two texts of one id that nobody else has both stay; one of three equal ones does.
+    apart = spark.createDataFrame([(1, a), (1, b), (1, b), (1, b)], "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_first(apart).collect())) == sorted([(1, a), (1, b)])
+
+
 # --- decontamination
 
 
@@ -290,6 +314,11 @@ def test_contaminated_pairs(spark, documents, nothing):
     assert got == [(20, 1, 30, 30), (21, 1, 30, 30)]
     assert by_id(tiling.decontaminate(docs, bench), "doc_id") == [(22,), (23,), (None,)]
     assert tiling.contaminated(nothing, bench).count() == 0
+    short = spark.createDataFrame([(5, "the answer is 42"), (6, "Is 42"), (7, "answer was 42")], "item_id long, text string")
+    asked = spark.createDataFrame([(1, "So: THE answer, is 42!"), (2, "42 is the answer"), (3, "the answer was 42.")], "doc_id long, text string")
+    got = by_id(tiling.contaminated(asked, short), "doc_id", "item_id", "n_tokens", "n_covered")
+    assert got == [(1, 5, 4, 4), (3, 7, 3, 3)]
+    assert by_id(tiling.contaminated(asked, bench.unionByName(short)), "doc_id", "item_id") == [(1, 5), (3, 7)]
     assert tiling.decontaminate(documents, bench.limit(0)).count() == documents.count()
 
 

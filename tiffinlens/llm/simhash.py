@@ -160,15 +160,8 @@ def hex_digits(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
-def with_components(
-    documents: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS, shard: int = SHARD
-) -> DataFrame:
-    """doc_id, fingerprint (bigint), component_id for every row of ``documents``.
-
-    Texts without words, NULL or empty, have fingerprint zero and are linked like
-    any other. Repeated rows give repeated rows. A component's id is the smallest
-    doc_id in it that is not NULL; NULL if there is none.
-    """
+def _rooted(documents: DataFrame, words: int, radius: int, shard: int) -> DataFrame:
+    """doc_id, value, root, component_id: the fingerprint, one fingerprint that stands for its component, the smallest id there."""
     prints = staged(
         documents.select("doc_id", fingerprints(words)("text").alias("value")), "fingerprints"
     )
@@ -178,10 +171,20 @@ def with_components(
         "value", "least", F.coalesce("root", "value").alias("root")
     )
     lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(lowest, "root").select("value", "component_id")
-    return prints.join(classes, "value").select(
-        "doc_id", F.col("value").alias("fingerprint"), "component_id"
-    )
+    classes = rooted.join(lowest, "root").select("value", "root", "component_id")
+    return prints.join(classes, "value").select("doc_id", "value", "root", "component_id")
+
+
+def with_components(
+    documents: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS, shard: int = SHARD
+) -> DataFrame:
+    """doc_id, fingerprint (bigint), component_id for every row of ``documents``.
+
+    Texts without words, NULL or empty, have fingerprint zero and are linked like
+    any other. Repeated rows give repeated rows. A component's id is the smallest
+    doc_id in it that is not NULL; NULL if there is none.
+    """
+    return _rooted(documents, words, radius, shard).select("doc_id", F.col("value").alias("fingerprint"), "component_id")
 
 
 def keep_first(
@@ -189,17 +192,27 @@ def keep_first(
 ) -> DataFrame:
     """The document of each component whose doc_id is the smallest, with all its columns.
 
-    Of rows that share a doc_id one stays. Rows without a doc_id are not told
-    apart and stay as they are.
+    Of rows that share a doc_id and a component one stays, the first by a fixed
+    order of their texts; rows that share a doc_id in different components are
+    decided each by its own. Rows without a doc_id are not told apart and stay
+    as they are.
     """
-    classes = staged(with_components(documents, words, radius, shard), "components")
-    gone = staged(
-        classes.where("doc_id <> component_id").select("doc_id").distinct(), "copies"
-    )
+    classes = staged(_rooted(documents, words, radius, shard), "components")
     repeated = staged(
-        classes.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"),
-        "repeated",
+        classes.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated"
     )
+    copies = classes.where("doc_id <> component_id").select("doc_id").join(repeated, "doc_id", "left_anti")
+    gone = staged(copies, "copies")
     single = documents.join(gone, "doc_id", "left_anti").join(repeated, "doc_id", "left_anti")
-    several = documents.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(several).select(*documents.columns)
+    # Few rows as a rule: only these are fingerprinted again, to find each its own component.
+    own = classes.join(repeated, "doc_id", "left_semi").where("doc_id = component_id")
+    own = own.select("doc_id", F.col("value").alias("__print"), F.col("root").alias("__root")).distinct()
+    several = documents.join(repeated, "doc_id", "left_semi").withColumn("__print", fingerprints(words)("text"))
+    first = F.struct(F.sha2("text", 256), F.xxhash64(*documents.columns))
+    chosen = (
+        several.join(own, ["doc_id", "__print"])
+        .groupBy("doc_id", "__root")
+        .agg(F.min_by(F.struct(*documents.columns), first).alias("__row"))
+        .select("__row.*")
+    )
+    return single.unionByName(chosen).select(*documents.columns)
