@@ -1,6 +1,9 @@
 """Cases the sample rows leave open: gaps, ties, NULLs, limits, broken rows."""
 
 import datetime as dt
+import itertools
+import random
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -287,6 +290,36 @@ def test_audits_find_what_is_broken(spark):
     assert audits.line_total_problems(lines).count() == 1
 
 
+@pytest.mark.parametrize("limit", [0, 3 * 224, 64 << 20])
+def test_references_of_any_key(spark, limit):
+    """Dense, sparse, negative and 64-bit keys: equal reports with no, some and all parents as bitmaps."""
+    ids = [-(1 << 63), -(1 << 40), -32769, -32768, -32767, -1, 0, 1, 32767, 32768, 32769, 65536, 1 << 40, (1 << 63) - 1]
+    held = spark.createDataFrame([(i,) for i in ids] + [(None,)], "order_id bigint")
+    used = [*ids, *ids, *[i + 1 for i in ids[:-1]], *[i - 1 for i in ids[1:]], None]
+    lines = spark.createDataFrame([(i, n, n % 3) for n, i in enumerate(used)], "order_id bigint, order_item_id bigint, item_id bigint")
+    items = spark.createDataFrame([(0,), (1,)], "item_id bigint")
+    lost = [i for i in used if i is not None and i not in ids]
+    model = {"orders": held, "menu_items": items, "order_items": lines}
+    got = {r.rule: (r.referring_rows, r.missing_keys, r.orphan_rows) for r in audits.reference_report(model, limit).collect()}
+    assert got == {
+        "order_items.order_id -> orders": (len(used) - 1, len(set(lost)), len(lost)),
+        "order_items.item_id -> menu_items": (len(used), 1, len([n for n in range(len(used)) if n % 3 == 2])),
+    }
+    empty = {name: table.limit(0) for name, table in model.items()}
+    assert {tuple(r)[1:] for r in audits.reference_report(empty, limit).collect()} == {(0, 0, 0)}
+
+
+def test_references_read_a_child_once(spark, tmp_path):
+    for name, cols in {"orders": "id AS order_id", "menu_items": "id AS item_id",
+                       "order_items": "id AS order_item_id, id AS order_id, id AS item_id"}.items():
+        spark.range(1000).selectExpr(*cols.split(", ")).write.parquet(f"{tmp_path}/{name}")
+    model = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in ("orders", "menu_items", "order_items")}
+    report = audits.reference_report(model)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 3 and "BroadcastHashJoin" in plan
+    assert "SortMergeJoin [parent" not in plan
+
+
 def test_codes_are_duplicates_in_any_case(spark):
     codes = frame(
         spark,
@@ -340,6 +373,27 @@ def test_purge_follows_cascades_and_refuses_held_rows(spark):
     assert left["menu_items"].filter("restaurant_id = 1").count() == 6
 
 
+def test_large_baskets_are_paired_by_blocks(spark):
+    rng = random.Random(5)
+    baskets = {1: set(range(90)), 2: set(range(40, 130)), 3: set(rng.sample(range(130), 25)), 4: {1, 2}, 5: {7}}
+    data = [(o, i) for o, items in baskets.items() for i in items for _ in range(1 + (i == 3))] + [(None, 1), (4, None)]
+    lines = spark.createDataFrame(data, "order_id bigint, item_id bigint")
+    want = Counter(pair for items in baskets.values() for pair in itertools.combinations(sorted(items), 2))
+    for block in (1, 7, 25, 1000):
+        got = menu.bought_together(lines, 2, block).collect()
+        assert {(r.item_id, r.other_id): r.orders_together for r in got} == {p: n for p, n in want.items() if n > 1}
+        assert len(got) == len({r[:2] for r in got})
+
+
+def test_a_huge_basket_is_many_small_units(spark):
+    lines = spark.range(20_000).selectExpr("1L AS order_id", "id AS item_id", "1L AS item_orders")
+    firsts, seconds = menu.basket_units(lines, menu.BASKET_BLOCK)
+    unit = ["order_id", "first", "second"]
+    sizes = firsts.groupBy(unit).count().join(seconds.groupBy(unit).agg(F.count("*").alias("others")), unit).collect()
+    assert len(sizes) == 20 * 21 // 2
+    assert max(max(r["count"], r.others) for r in sizes) < 1.2 * menu.BASKET_BLOCK
+
+
 def test_bought_together_finds_every_frequent_pair(spark):
     lines = frame(
         spark,

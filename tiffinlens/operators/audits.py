@@ -12,9 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import money
+from ..plans import bitmaps
 from ..schemas import COLLATED_KEYS, SUBTOTAL_TAX, TABLES
 
 ANY_CASE = "UNICODE_CI_AI_RTRIM"
+# Bytes of key bitmaps that a reference audit may broadcast.
+BITMAP_BYTES = 64 << 20
 
 
 def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
@@ -34,64 +37,98 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_key: st
     return uses.join(keys, column, "left_anti")
 
 
-def reference_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+def reference_report(tables: Mapping[str, DataFrame], bitmap_bytes: int = BITMAP_BYTES) -> DataFrame:
     """One row per reference among the given tables: referring rows, missing keys, orphan rows.
 
-    Each table is read once as a child, for all its references together, and once
-    as a parent. Uses are counted per key before the one join.
+    Each table is read once as a child, for all its references together. Parents whose
+    keys fit ``bitmap_bytes`` as bitmaps, taken from the smallest on, travel to the
+    child's rows as such: rows with a known key are counted where they are read and
+    only orphans are shuffled. What bitmaps take is bounded by a count and the lowest and
+    highest key before any is made. Uses of other parents (very many or widely
+    spread keys) are counted per key before the one join.
     """
-    uses, rules, wanted = [], [], []
+    rules: list[tuple[str, str]] = []
+    uses = []
+    numbers = {name: i for i, name in enumerate(tables)}
     for name, child in tables.items():
-        refs = [
-            ref
-            for ref in TABLES[name].parents
-            if ref.table in tables and ref.column in child.columns
-        ]
-        if not refs:
-            continue
+        refs = [ref for ref in TABLES[name].parents if ref.table in tables and ref.column in child.columns]
         found = []
         for ref in refs:
-            rule = f"{name}.{ref.column} -> {ref.table}"
-            rules.append(rule)
-            wanted.append(ref.table)
             found.append(
                 F.struct(
-                    F.lit(rule).alias("rule"),
-                    F.lit(ref.table).alias("parent"),
+                    F.lit(len(rules)).alias("rule"),
+                    F.lit(numbers[ref.table]).alias("parent"),
                     F.col(ref.column).cast("bigint").alias("ref_key"),
                 )
             )
-        uses.append(
-            child.select(F.explode(F.array(*found)).alias("use"))
-            .select("use.*")
-            .filter(F.col("ref_key").isNotNull())
+            rules.append((f"{name}.{ref.column} -> {ref.table}", ref.table))
+        if found:
+            uses.append(
+                child.select(F.explode(F.array(*found)).alias("use"))
+                .select("use.*")
+                .filter(F.col("ref_key").isNotNull())
+            )
+    keys = {
+        name: tables[name].select(
+            F.lit(numbers[name]).alias("parent"), F.col(TABLES[name].key[0]).cast("bigint").alias("ref_key")
         )
-    keys = [
-        tables[name].select(
-            F.lit(name).alias("parent"),
-            F.col(TABLES[name].key[0]).cast("bigint").alias("ref_key"),
-            F.lit(True).alias("known"),
+        for name in dict.fromkeys(parent for _, parent in rules)
+    }
+    mapped = _mapped(keys, numbers, bitmap_bytes)
+    used = reduce(DataFrame.unionByName, uses).withColumn("known", F.lit(None).cast("boolean"))
+    if mapped:
+        held = bitmaps.bitmaps(reduce(DataFrame.unionByName, [keys[n] for n in mapped]), "ref_key", "parent")
+        held = bitmaps.sliced(held, "parent")
+        bit = bitmaps.has_bit(F.col("bits"), bitmaps.place_in_slice(F.col("ref_key")))
+        known = F.when(F.col("parent").isin([numbers[n] for n in mapped]), bit)
+        used = (
+            used.withColumn("slice", bitmaps.slice_of(F.col("ref_key")))
+            .join(F.broadcast(held), ["parent", "slice"], "left")
+            .withColumn("known", known)
         )
-        for name in dict.fromkeys(wanted)
-    ]
+    # All rows of a rule whose key is known count together, under no key.
     counted = (
-        reduce(DataFrame.unionByName, uses)
-        .groupBy("rule", "parent", "ref_key")
+        used.select("rule", "parent", "known", F.when(F.col("known"), F.lit(None)).otherwise(F.col("ref_key")).alias("ref_key"))
+        .groupBy("rule", "parent", "known", "ref_key")
         .agg(F.count("*").alias("n"))
     )
-    lost = F.col("known").isNull()
-    report = (
-        counted.join(reduce(DataFrame.unionByName, keys), ["parent", "ref_key"], "left")
-        .groupBy("rule")
-        .agg(
-            F.sum("n").alias("referring_rows"),
-            F.count(F.when(lost, F.lit(1))).alias("missing_keys"),
-            F.coalesce(F.sum(F.when(lost, F.col("n"))), F.lit(0)).alias("orphan_rows"),
+    others = [frame.withColumn("present", F.lit(True)) for name, frame in keys.items() if name not in mapped]
+    if others:
+        counted = counted.join(reduce(DataFrame.unionByName, others), ["parent", "ref_key"], "left").withColumn(
+            "known", F.coalesce("known", "present")
         )
+    lost = ~F.coalesce("known", F.lit(False))
+    report = counted.groupBy("rule").agg(
+        F.sum("n").alias("referring_rows"),
+        F.count(F.when(lost, F.lit(1))).alias("missing_keys"),
+        F.coalesce(F.sum(F.when(lost, F.col("n"))), F.lit(0)).alias("orphan_rows"),
+    )
+    listed = F.array(*[F.struct(F.lit(i).alias("number"), F.lit(rule).alias("name")) for i, (rule, _) in enumerate(rules)])
+    listed = report.sparkSession.range(1).select(F.explode(listed).alias("listed")).select(
+        F.col("listed.number").alias("rule"), F.col("listed.name").alias("name")
     )
-    spark = report.sparkSession
-    listed = spark.range(1).select(F.explode(F.array(*[F.lit(r) for r in rules])).alias("rule"))
-    return listed.join(report, "rule", "left").na.fill(0)
+    return (
+        listed.join(report, "rule", "left")
+        .select(F.col("name").alias("rule"), "referring_rows", "missing_keys", "orphan_rows")
+        .na.fill(0)
+    )
+
+
+def _mapped(keys: Mapping[str, DataFrame], numbers: Mapping[str, int], limit: int) -> list[str]:
+    """The parents whose bitmaps take ``limit`` bytes at most together, from the smallest on."""
+    if limit <= 0 or not keys:
+        return []
+    sizes = reduce(DataFrame.unionByName, keys.values()).groupBy("parent").agg(
+        F.count("ref_key").alias("keys"), F.min("ref_key").alias("low"), F.max("ref_key").alias("high")
+    )
+    bounds = {r.parent: bitmaps.most_bytes(r["keys"], r.low, r.high) for r in sizes.collect()}
+    found, taken = [], 0
+    for name in sorted(keys, key=lambda n: bounds.get(numbers[n], 0)):
+        taken += bounds.get(numbers[name], 0)
+        if taken > limit:
+            break
+        found.append(name)
+    return found
 
 
 def duplicate_keys(table: DataFrame, columns: list[str]) -> DataFrame:

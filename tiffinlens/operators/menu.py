@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import money
 from ..functions.lifecycle import DELIVERED
 
+# Items of one basket that a unit of work pairs with as many others.
+BASKET_BLOCK = 1000
+
 
 def _delivered_ids(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("order_status") == DELIVERED).select("order_id")
@@ -133,23 +136,65 @@ def category_performance(
     ).orderBy(F.desc("total_revenue"), "category_name")
 
 
-def bought_together(order_items: DataFrame, min_orders: int = 2) -> DataFrame:
+def basket_units(lines: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the units (order_id, first, second) that pair all blocks of a basket.
+
+    ``lines`` are order_id, item_id, item_orders, unique by the first two. Items are
+    dealt into blocks by their hash, so a block has about ``block`` of them.
+    """
+    large = (
+        lines.groupBy("order_id")
+        .agg(F.count("*").alias("items"))
+        .filter(F.col("items") > block)
+        .select("order_id", F.ceil(F.col("items") / block).cast("int").alias("blocks"))
+    )
+    dealt = (
+        lines.join(large, "order_id", "left")
+        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        .withColumn("own", F.pmod(F.xxhash64("item_id"), F.col("blocks")).cast("int"))
+    )
+    # Of a unit's two blocks this side has the first, the other side the second.
+    firsts = dealt.select(
+        "order_id",
+        "item_id",
+        "item_orders",
+        F.col("own").alias("first"),
+        F.explode(F.sequence("own", F.col("blocks") - 1)).alias("second"),
+    )
+    seconds = dealt.select(
+        "order_id",
+        F.col("item_id").alias("other_id"),
+        F.col("item_orders").alias("other_orders"),
+        F.explode(F.sequence(F.lit(0), "own")).alias("first"),
+        F.col("own").alias("second"),
+    )
+    return firsts, seconds
+
+
+def bought_together(order_items: DataFrame, min_orders: int = 2, block: int = BASKET_BLOCK) -> DataFrame:
     """Every pair of items that ``min_orders`` orders or more hold, with the share of the first's orders.
 
     An item in fewer orders is in no such pair, so its lines go before baskets are
-    paired: no qualifying pair is lost. A basket's lines meet by a join on the
-    order, and a basket with very many lines is a skewed partition that adaptive
-    execution splits over tasks.
+    paired: no qualifying pair is lost. A basket of more than ``block`` items is
+    dealt into blocks of about that many, and every two blocks are a unit that
+    some task pairs: n items are never one task's n * n. Pairs are counted in the
+    task that makes them before they are shuffled.
     """
     lines = order_items.select("order_id", "item_id").distinct()
     frequent = lines.groupBy("item_id").agg(F.count("*").alias("item_orders")).filter(
         F.col("item_orders") >= min_orders
     )
     kept = lines.join(frequent, "item_id")
-    others = kept.select("order_id", F.col("item_id").alias("other_id"))
+    firsts, seconds = basket_units(kept, block)
+    lower = F.col("item_id") < F.col("other_id")
     return (
-        kept.join(others, "order_id")
-        .filter(F.col("item_id") < F.col("other_id"))
+        firsts.join(seconds, ["order_id", "first", "second"])
+        .filter(lower | ((F.col("first") < F.col("second")) & (F.col("item_id") != F.col("other_id"))))
+        .select(
+            F.least("item_id", "other_id").alias("item_id"),
+            F.when(lower, F.col("item_orders")).otherwise(F.col("other_orders")).alias("item_orders"),
+            F.greatest("item_id", "other_id").alias("other_id"),
+        )
         .groupBy("item_id", "item_orders", "other_id")
         .agg(F.count("*").alias("orders_together"))
         .filter(F.col("orders_together") >= min_orders)

@@ -15,6 +15,7 @@ from ..functions import time
 from ..operators.changefeed import upsert
 from ..operators.history import latest_agent_position
 from ..operators.views import daily_kpi, order_summary
+from ..plans.bitmaps import bitmaps, bucket_of, has_bit, place_of
 from ..plans.lineage import settle
 from .tables import first_of_each
 
@@ -90,12 +91,6 @@ def _key_range(key: str) -> Column:
     return F.col(key) - F.pmod(F.col(key), F.lit(KEY_RANGE))
 
 
-def _bit(bits: Column, place: Column) -> Column:
-    """Whether a bitmap, NULL if there is none, has a bit."""
-    byte = F.conv(F.hex(F.substring(bits, (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.coalesce(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (place % 8).cast("int"))) != 0, F.lit(False))
-
-
 def insert_absent_stored(
     spark: SparkSession, path: str, fresh: DataFrame, key: str, order: str, version: int
 ) -> DataFrame:
@@ -116,17 +111,14 @@ def insert_absent_stored(
         kept = kept.filter(F.col("version") < version)
         kept = kept.join(ranged.select("keys_from").distinct(), "keys_from", "left_semi")
         known = kept.groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-        place = F.call_function("bitmap_bit_position", F.col(key))
         absent = (
-            ranged.withColumn("bucket", F.call_function("bitmap_bucket_number", F.col(key)))
+            ranged.withColumn("bucket", bucket_of(F.col(key)))
             .join(known, "bucket", "left")
-            .filter(~_bit(F.col("bits"), place))
+            .filter(~has_bit(F.col("bits"), place_of(F.col(key))))
             .drop("bucket", "bits")
         )
     absent = settle(absent)
-    bits = absent.groupBy("keys_from", F.call_function("bitmap_bucket_number", F.col(key)).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.call_function("bitmap_bit_position", F.col(key))).alias("bits")
-    )
+    bits = bitmaps(absent, key, "keys_from")
     absent.write.mode("overwrite").partitionBy("keys_from").parquet(f"{path}/rows/version={version}")
     bits.write.mode("overwrite").partitionBy("keys_from").parquet(f"{path}/keys/version={version}")
     return absent.select(*fresh.columns)

@@ -22,6 +22,7 @@ from tiffinlens.operators import (
     views,
 )
 from tiffinlens.plans.lineage import scratch_path
+from tiffinlens.schemas import TABLES
 from tiffinlens.session import tune
 from tiffinlens.sources import stores
 from tiffinlens.sources.tables import insert_absent, register_views, write_by_month
@@ -290,6 +291,47 @@ def _missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
+# Of the rows as they are taken for received, one in this many lacks a given column or has a value past its domain.
+FAULT_EVERY = 40
+
+
+def _faulty(name: str, column: str, place: int) -> Column:
+    """Whether a row of the table, by its key, is one received with a fault in the column."""
+    return (F.col(TABLES[name].key[0]).cast("bigint") * 7 + place) % FAULT_EVERY == 0
+
+
+def _missing_received(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULLs in all 17 tables as received: each required column lacks some values."""
+    reports = []
+    for name, table in _audited(spark, sf_dir).items():
+        required = [c for c in TABLES[name].required if c in table.columns]
+        received = table.select(*[F.when(~_faulty(name, c, i), F.col(c)).alias(c) for i, c in enumerate(required)])
+        reports.append(audits.missing_values(name, received).select(F.lit(name).alias("table_name"), "*"))
+    return reduce(DataFrame.unionByName, reports)
+
+
+def _values_received(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """table_name, id, problems: rows of all tables with value rules as received, some past a domain or range."""
+    reports = []
+    for name, table in _audited(spark, sf_dir).items():
+        spec = TABLES[name]
+        rules = [c for c in (*spec.domains, *spec.ranges) if c in table.columns]
+        if not rules:
+            continue
+        received = table
+        for place, c in enumerate(rules):
+            wrong = F.lit("?") if c in spec.domains else F.lit(9)
+            received = received.withColumn(c, F.when(_faulty(name, c, place), wrong).otherwise(F.col(c)))
+        reports.append(
+            audits.value_problems(name, received).select(
+                F.lit(name).alias("table_name"),
+                F.col(spec.key[0]).cast("bigint").alias("id"),
+                F.concat_ws(",", "problems").alias("problems"),
+            )
+        )
+    return reduce(DataFrame.unionByName, reports)
+
+
 def _views_for_bi(spark: SparkSession, sf_dir: str) -> None:
     register_views(_model(spark, sf_dir) | {"payments": b.payments_made(spark, sf_dir)})
 
@@ -466,6 +508,8 @@ QUERIES: dict[str, Query] = {
     "c2_duplicates": _duplicates,
     "c2_duplicate_lines": _audit(lambda t: audits.duplicate_keys(t("order_items"), ["order_item_id"])),
     "c3_missing_values": _missing,
+    "c3_missing_values_received": _missing_received,
+    "c4_value_problems_received": _values_received,
     "c4_review_ranges": _audit(
         lambda t: audits.value_problems("reviews", t("raw_reviews")).select(
             "review_id", F.concat_ws(",", "problems").alias("problems")
