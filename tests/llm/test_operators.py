@@ -168,10 +168,25 @@ def test_order_of_rules_does_not_change_the_verdict(documents):
 
 
 def test_rules_stand_by_rejection_per_cost(spark, monkeypatch):
-    listed = [rules.Rule(n, F.lit(False)) for n in "abc"]
-    costs = {"a": (2.0, 0.2), "b": (1.0, 0.5), "c": (1.0, 0.1)}
-    monkeypatch.setattr(rules, "measured", lambda sample, given: [(r, *costs[r.name]) for r in given])
-    assert [r.name for r in rules.ordered(None, listed)] == ["b", "a", "c"]
+    listed = [rules.Rule(n, F.lit(False)) for n in "abcd"]
+    # Of what b leaves, a has two rows at twice the cost of c's one and a half; d finds only what b does.
+    costs = {"a": (2.0, {1, 2, 3, 4}), "b": (1.0, {1, 2, 5, 6}), "c": (0.5, {7}), "d": (0.1, {1})}
+    monkeypatch.setattr(rules, "measured", lambda sample, given: [(r, costs[r.name][0], frozenset(costs[r.name][1])) for r in given])
+    assert [r.name for r in rules.ordered(None, listed)] == ["d", "b", "c", "a"]
+
+
+def test_rules_are_measured_on_rows_that_pass_the_base(spark, monkeypatch):
+    texts = [(i, "few words") for i in range(5)] + [(9, some_words(3, 40) + " !!!!" * 9), (10, some_words(4, 40)), (11, None)]
+    seen = []
+    measured = rules.measured
+    monkeypatch.setattr(rules, "measured", lambda sample, given: seen.append(measured(sample, given)) or seen[-1])
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = {r.doc_id: r.kept for r in rules.apply_rules(docs).collect()}
+    assert kept == {**dict.fromkeys(range(5), False), 9: False, 10: True, 11: False}
+    assert {r.name: len(rows) for r, _, rows in seen[0]} == {
+        "symbols": 0, "duplicate_lines": 0, "word_length": 0, "shouting": 0, "exclamations": 1
+    }
+    assert rules.apply_rules(docs.limit(0)).count() == 0
 
 
 # --- secrets
