@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import random
+import re
 from collections import Counter
 from decimal import Decimal
 
@@ -394,6 +395,25 @@ def test_a_huge_basket_is_many_small_units(spark):
     assert max(max(r["count"], r.others) for r in sizes) < 1.2 * menu.BASKET_BLOCK
 
 
+def test_more_pairs_are_counted_by_more_tasks(spark, monkeypatch):
+    """Every count is spread by the pairs to be made, and a pair of many orders is counted in parts."""
+    rng = random.Random(3)
+    baskets = {o: set(rng.sample(range(12), rng.randint(1, 6))) | {1, 2} for o in range(90)} | {90: set(range(20))}
+    data = [(o, i) for o, items in baskets.items() for i in items for _ in range(1 + (i == 3))] + [(None, 1), (4, None)]
+    lines = spark.createDataFrame(data, "order_id bigint, item_id bigint")
+    orders = Counter(i for items in baskets.values() for i in items) + Counter([1])
+    counts = Counter(pair for items in baskets.values() for pair in itertools.combinations(sorted(items), 2))
+    n_pairs = sum(counts.values())
+    for size, block in ((n_pairs // 30, 1000), (20, 1000), (20, 7)):
+        monkeypatch.setattr(menu, "TASK_PAIRS", size)
+        frame = menu.bought_together(lines, 2, block)
+        got = {tuple(r)[:2]: (r[2], float(r[3])) for r in frame.collect()}
+        assert got == {p: (n, pytest.approx(100 * n / orders[p[0]], abs=0.006)) for p, n in counts.items() if n > 1}
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        sizes = [int(n) for n in re.findall(r"RepartitionByExpression \[.*\], (\d+)", plan)]
+        assert len(sizes) >= 4 and max(sizes) >= n_pairs / size
+
+
 def test_bought_together_finds_every_frequent_pair(spark):
     lines = frame(
         spark,

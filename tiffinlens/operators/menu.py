@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ from ..functions.lifecycle import DELIVERED
 
 # Items of one basket that a unit of work pairs with as many others.
 BASKET_BLOCK = 1000
+# Lines or pairs that a task of the pairing takes, about; the number of its tasks ends at MOST_TASKS.
+TASK_PAIRS = 1 << 20
+MOST_TASKS = 10_000
 
 
 def _delivered_ids(orders: DataFrame) -> DataFrame:
@@ -136,6 +141,19 @@ def category_performance(
     ).orderBy(F.desc("total_revenue"), "category_name")
 
 
+def _tasks(rows: float, order_items: DataFrame) -> int:
+    """Tasks of about TASK_PAIRS rows each, so many that every core has one."""
+    return max(order_items.sparkSession.sparkContext.defaultParallelism, min(math.ceil(rows / TASK_PAIRS), MOST_TASKS))
+
+
+def pairing_size(lines: DataFrame) -> tuple[float, int]:
+    """(lines or pairs, whichever are more; items of the largest basket) of distinct ``lines``."""
+    n = F.col("items").cast("double")
+    baskets = lines.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(F.count("*").alias("items"))
+    found = baskets.agg(F.sum(F.greatest(n, n * (n - 1) / 2)), F.max("items")).first()
+    return found[0] or 0, found[1] or 0
+
+
 def basket_units(lines: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
     """Both sides of the units (order_id, first, second) that pair all blocks of a basket.
 
@@ -177,27 +195,51 @@ def bought_together(order_items: DataFrame, min_orders: int = 2, block: int = BA
     An item in fewer orders is in no such pair, so its lines go before baskets are
     paired: no qualifying pair is lost. A basket of more than ``block`` items is
     dealt into blocks of about that many, and every two blocks are a unit that
-    some task pairs: n items are never one task's n * n. Pairs are counted in the
-    task that makes them before they are shuffled.
+    some task pairs: n items are never one task's n * n. The number of tasks
+    follows the pairs to be made, so what one of them holds stays the same however
+    large the tables are. A pair that many orders may hold is counted in parts.
     """
-    lines = order_items.select("order_id", "item_id").distinct()
+    lines = order_items.select("order_id", "item_id")
+    lines = lines.repartition(_tasks(order_items.count(), order_items), "order_id", "item_id").distinct()
+    size, longest = pairing_size(lines)
+    tasks = _tasks(size, order_items)
     frequent = lines.groupBy("item_id").agg(F.count("*").alias("item_orders")).filter(
         F.col("item_orders") >= min_orders
     )
-    kept = lines.join(frequent, "item_id")
-    firsts, seconds = basket_units(kept, block)
+    # Hashing the items keeps fewer rows than sorting the lines would.
+    kept = lines.filter(F.col("order_id").isNotNull()).join(frequent.hint("shuffle_hash"), "item_id")
     lower = F.col("item_id") < F.col("other_id")
-    return (
-        firsts.join(seconds, ["order_id", "first", "second"])
-        .filter(lower | ((F.col("first") < F.col("second")) & (F.col("item_id") != F.col("other_id"))))
+    if longest > block:
+        unit = ["order_id", "first", "second"]
+        firsts, seconds = basket_units(kept, block)
+        paired = lower | ((F.col("first") < F.col("second")) & (F.col("item_id") != F.col("other_id")))
+    else:
+        unit, paired = ["order_id"], lower
+        firsts, seconds = kept, kept.withColumnsRenamed({"item_id": "other_id", "item_orders": "other_orders"})
+    # No more orders hold a pair than hold either item.
+    parts = F.ceil(F.least("item_orders", "other_orders") / TASK_PAIRS).cast("int")
+    pairs = (
+        firsts.repartition(tasks, *unit)
+        .join(seconds.repartition(tasks, *unit), unit)
+        .filter(paired)
         .select(
             F.least("item_id", "other_id").alias("item_id"),
             F.when(lower, F.col("item_orders")).otherwise(F.col("other_orders")).alias("item_orders"),
             F.greatest("item_id", "other_id").alias("other_id"),
+            parts.alias("parts"),
+            F.pmod(F.xxhash64("order_id"), parts).cast("int").alias("part"),
         )
-        .groupBy("item_id", "item_orders", "other_id")
+    )
+    together = F.col("orders_together") >= min_orders
+    return (
+        pairs.repartition(tasks, "item_id", "other_id", "part")
+        .groupBy("item_id", "item_orders", "other_id", "parts", "part")
         .agg(F.count("*").alias("orders_together"))
-        .filter(F.col("orders_together") >= min_orders)
+        # A pair of one part is whole; the sums below are of few.
+        .filter(together | (F.col("parts") > 1))
+        .groupBy("item_id", "item_orders", "other_id")
+        .agg(F.sum("orders_together").alias("orders_together"))
+        .filter(together)
         .select(
             "item_id",
             "other_id",
