@@ -68,6 +68,28 @@ def test_words_encoded_alone_are_whole_texts_encoded():
     assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+@pytest.mark.parametrize("most", [1 << 19, 25, 3])
+def test_words_of_batches_before_are_not_encoded_again(monkeypatch, most):
+    """Whatever is kept, the ids are the library's; a word that is kept is encoded once."""
+    run, asked = Tokenizer.from_file(WORDS), []
+    with open(WORDS, encoding="utf-8") as file:
+        content = file.read()
+    encode_new = tokenfiles._encode_new
+    monkeypatch.setattr(tokenfiles, "_encode_new", lambda words, c: asked.extend(words.to_pylist()) or encode_new(words, c))
+    monkeypatch.setattr(tokenfiles, "KNOWN_WORDS", most)
+    tokenfiles._known.cache_clear()
+    batches = [TEXTS[:4], TEXTS[4:], ["", None], ["the end of it all", "stop the 漢字かな"], TEXTS, [f"word{i} the {i}" for i in range(30)]] * 2
+    for texts in batches:
+        for kind in (pa.string(), pa.large_string()):
+            ids, lengths = tokenfiles.encode(pa.array(texts, kind), content)
+            want = [run.encode(t or "", add_special_tokens=False).ids for t in texts]
+            assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+            assert len(tokenfiles._known(content)[0].words) <= most
+    if most > 1000:
+        assert len(asked) == len(set(asked))
+    tokenfiles._known.cache_clear()
+
+
 def test_query_equals_the_library(spark):
     rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     got = sorted(map(tuple, queries.op11_token_files(spark, SF).collect()))

@@ -76,7 +76,58 @@ JOINED = 128
 STOPS = r"([A-Za-z])([.,;:!?])"
 
 
+# Bytes and number of the words whose ids a worker keeps from batch to batch.
+KNOWN_BYTES = 1 << 24
+KNOWN_WORDS = 1 << 19
+
+
+@dataclass
+class _Known:
+    """Distinct words with their ids, where each word's begin and how many they are."""
+
+    words: pa.Array
+    ids: np.ndarray
+    starts: np.ndarray
+    lengths: np.ndarray
+
+
+@cache
+def _known(content: str) -> list[_Known]:
+    """What this worker keeps: one table, which ``_encode_words`` replaces."""
+    none = np.zeros(0, np.int64)
+    return [_Known(pa.array([], pa.string()), np.zeros(0, np.uint32), none, none)]
+
+
 def _encode_words(words: pa.Array, content: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(all ids, where each word's begin, ids per word) of distinct words; those of batches before are looked up.
+
+    When more words are known than may be kept, those of this batch are kept alone if they are not too many.
+    """
+    known, words = _known(content)[0], words.cast(pa.string())
+    place = pc.fill_null(pc.index_in(words, value_set=known.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    new = np.flatnonzero(place < 0)
+    added = words.take(pa.array(new))
+    ids, starts, lengths = _encode_new(added, content)
+    place[new] = len(known.words) + np.arange(len(new))
+    starts = np.concatenate([known.starts, starts + len(known.ids)])[place]
+    lengths = np.concatenate([known.lengths, lengths])[place]
+    ids = np.concatenate([known.ids, ids])
+
+    def kept(size: int, chars: int) -> bool:
+        return size <= KNOWN_WORDS and chars <= KNOWN_BYTES
+
+    def chars(some: pa.Array) -> int:
+        return pc.sum(pc.binary_length(some)).as_py() or 0
+
+    if kept(len(known.words) + len(new), chars(known.words) + chars(added)):
+        sizes = np.concatenate([known.lengths, lengths[new]])
+        _known(content)[0] = _Known(pa.concat_arrays([known.words, added]), ids, np.concatenate([known.starts, starts[new]]), sizes)
+    elif kept(len(words), chars(words)):
+        _known(content)[0] = _Known(words, ids[places(starts, lengths)], starts_of(lengths)[:-1], lengths)
+    return ids, starts, lengths
+
+
+def _encode_new(words: pa.Array, content: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(all ids, where each word's begin, ids per word) of distinct words; those of LETTERS alone go to the merges at once."""
     plain = pc.match_substring_regex(words, LETTERS).to_numpy(zero_copy_only=False)
     order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
