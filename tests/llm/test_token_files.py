@@ -1,6 +1,7 @@
 """Re-Pair grammars, and token files against the tokenizers library."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -90,6 +91,91 @@ def test_words_of_batches_before_are_not_encoded_again(monkeypatch, most):
     tokenfiles._known.cache_clear()
 
 
+def library(texts):
+    run = Tokenizer.from_file(WORDS)
+    return [run.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def encoded(texts):
+    with open(WORDS, encoding="utf-8") as file:
+        ids, lengths = tokenfiles.encode(pa.array(texts, pa.string()), file.read())
+    return [part.tolist() for part in np.split(ids, np.cumsum(lengths)[:-1])]
+
+
+def test_letters_and_marks_go_to_the_merges_at_once(monkeypatch):
+    """Words of known letters, marks and digits cost no run of the whole tokenizer."""
+    texts = ["Éourément ééè. Ñosqueco, les&&& L'É", "(949) 555-3739 88.112.68.201 <b>ÄÖ</b> </w> a</w> ПРИВЕТ! ΛΌΓΟΣ ς Σ", "x=1;y+=2 #$%&*~^_`@"]
+    whole, asked = tokenfiles._tokenizer, []
+
+    class Asked:
+        def __init__(self, content):
+            self.run = whole(content)
+            self.model = self.run.model
+
+        def encode_batch_fast(self, words, **options):
+            asked.extend(words)
+            return self.run.encode_batch_fast(words, **options)
+
+    monkeypatch.setattr(tokenfiles, "_tokenizer", Asked)
+    tokenfiles._known.cache_clear()
+    assert encoded(texts) == library(texts)
+    assert sorted(asked) == sorted(["l'É", "ΛΌΓΟΣ"])
+    tokenfiles._known.cache_clear()
+
+
+def test_marks_on_capitals_are_not_put_on_small_letters():
+    """The library composes before it folds: there is no capital for some small letters with a mark."""
+    marks = ["\u0308", "\u030a", "\u030c", "\u0331", "\u0316\u0308", "\u0301", "\u0307"]
+    texts = [before + letter + mark + "x" for letter in "ABHIJTWYhjtwy" for mark in marks for before in ("", "é", "a.", "<|")]
+    assert encoded(texts) == library(texts)
+
+
+def test_every_neighbour_of_a_letter_or_mark():
+    some = [chr(i) for i in range(33, 0x3CA)] + ["<|endoftext|>", "'s", "'LL", "\u0338", "ſ", "K", "中", "<|", "|>"]
+    texts = [a + b + "r" for a in ["a", "É", "9", "'", "|", "&", "<", "<|endoftext|>", "Я"] for b in some]
+    assert encoded(texts) == library(texts)
+
+
+def plain_rounds(ids, base, least):
+    """The grammar as the module says, one pair after the other: (left, right, symbols)."""
+    symbols, rules, bar = list(ids), [], None
+    while len(symbols) > 1:
+        pairs = list(zip(symbols, symbols[1:]))
+        counts = Counter(pairs)
+        if max(counts.values()) < least:
+            break
+        bar = max(least, min(max(counts.values()), bar or 1 << 60) // repair.STEP)
+        ranked = sorted((p for p in counts if counts[p] >= bar), key=counts.get)
+        weight = {p: i + 1 for i, p in enumerate(ranked)}
+        heavy = [weight.get(p, 0) for p in pairs] + [0]
+        run, open_ = 0, []
+        for i, w in enumerate(heavy):
+            run = run + 1 if i and w == heavy[i - 1] else 0
+            open_.append(w if run % 2 == 0 else 0)
+        at = [i for i, w in enumerate(open_[:-1]) if w and open_[i + 1] <= w and (not i or open_[i - 1] <= w)]
+        used = Counter(pairs[i] for i in at)
+        found = [p for p in dict.fromkeys(pairs) if used[p] >= max(2, least // 2)]
+        if not found:
+            if bar == least:
+                break
+            continue
+        symbol = {p: base + len(rules) + i for i, p in enumerate(found)}
+        rules += found
+        at, before = {i for i in at if pairs[i] in symbol}, len(symbols)
+        symbols = [symbol[pairs[i]] if i in at else s for i, s in enumerate(symbols) if i - 1 not in at]
+        if bar == least and before - len(symbols) < before * repair.GAIN:
+            break
+    return [p[0] for p in rules], [p[1] for p in rules], symbols
+
+
+@given(st.lists(st.integers(0, 7), max_size=400), st.integers(2, 9), st.sampled_from([8, 65_500, 65_536, 1 << 20]))
+@settings(max_examples=150, deadline=None)
+def test_grammar_is_that_of_the_rounds(ids, least, base):
+    shard = repair.compress(np.array(ids, np.int64) + base - 8, base, least)
+    want = plain_rounds([i + base - 8 for i in ids], base, least)
+    assert (shard.left.tolist(), shard.right.tolist(), shard.symbols.tolist()) == want
+
+
 def test_query_equals_the_library(spark):
     rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     got = sorted(map(tuple, queries.op11_token_files(spark, SF).collect()))

@@ -13,8 +13,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-from .flat import places, starts_of
+from .flat import lists, starts_of, values_of
 
 # A rule takes two symbols and a length, so a pair pays from about this many occurrences on.
 LEAST = 8
@@ -38,115 +39,140 @@ class Shard:
 
     def widths(self) -> np.ndarray:
         """How many ids each symbol of the sequence stands for."""
-        if not len(self.lengths):
-            return np.ones(len(self.symbols), np.int64)
-        rule = self.symbols.astype(np.int64) - self.base
-        return np.where(rule < 0, 1, self.lengths[np.maximum(rule, 0)]).astype(np.int64)
+        return _spans(self.symbols, self.lengths, self.base)
 
 
-def _unlike(weight: np.ndarray) -> np.ndarray:
-    """Which pair positions to replace: no two neighbours, the heavier one of two that meet, runs from their start."""
-    n = len(weight)
-    place = np.arange(n, dtype=np.int32)
+def _unlike(place: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Which of the pairs at ``place`` to replace: no two neighbours, the heavier one of two that meet, runs from their start."""
+    n = len(place)
+    number = np.arange(n, dtype=np.int32)
+    beside = place[1:] == place[:-1] + 1
     begins = np.ones(n, bool)
-    begins[1:] = weight[1:] != weight[:-1]
-    inside = place - np.maximum.accumulate(np.where(begins, place, np.int32(0)))
-    open_ = (weight > 0) & (inside % 2 == 0)
+    begins[1:] = (weight[1:] != weight[:-1]) | ~beside
+    inside = number - np.maximum.accumulate(np.where(begins, number, np.int32(0)))
+    open_ = inside % 2 == 0
     chosen = open_.copy()
-    meet = open_[1:] & open_[:-1]
+    meet = open_[1:] & open_[:-1] & beside
     chosen[1:] &= ~(meet & (weight[:-1] > weight[1:]))
     chosen[:-1] &= ~(meet & (weight[1:] > weight[:-1]))
     return chosen
 
 
-def _pairs(symbols: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(number of each pair of neighbours, left and right symbols by number); symbols are below ``top``."""
+def _codes(symbols: np.ndarray, top: int) -> np.ndarray:
+    """Each pair of neighbours as one number, a symbol in each half; symbols are below ``top``."""
     if top <= 1 << 16:
-        codes = (symbols[:-1] << np.uint32(16)) | symbols[1:]
-    else:
-        codes = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-    met = pa.array(codes).dictionary_encode()
-    known = met.dictionary.to_numpy()
-    half = known.dtype.type(known.itemsize * 4)
-    return met.indices.to_numpy(zero_copy_only=False), known >> half, known & known.dtype.type((1 << int(half)) - 1)
+        return (symbols[:-1] << np.uint32(16)) | symbols[1:]
+    return (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
+
+
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct codes, how often each occurs)."""
+    met = np.sort(codes)
+    last = np.append(np.flatnonzero(met[1:] != met[:-1]), len(met) - 1)
+    return met[last], np.diff(last, prepend=-1)
+
+
+def _hashed(codes: np.ndarray) -> np.ndarray:
+    """16 bits of each code."""
+    kind = codes.dtype.type
+    return (codes * kind(0x9E3779B1)) >> kind(16) & kind(0xFFFF)
+
+
+def _occurrences(codes: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where codes are among ``some``, which one is there): those of another hash are left out before looking up."""
+    seen = np.zeros(1 << 16, bool)
+    seen[_hashed(some)] = True
+    place = np.flatnonzero(seen[_hashed(codes)])
+    found = pc.index_in(pa.array(codes[place]), value_set=pa.array(some))
+    return place[found.is_valid().to_numpy(zero_copy_only=False)], found.drop_null().to_numpy()
+
+
+def _by_first(pair: np.ndarray, number: int) -> np.ndarray:
+    """The numbers below ``number``, all of which are in ``pair``, in the order in which they first come there."""
+    first = np.zeros(number, np.int64)
+    first[pair[::-1]] = np.arange(len(pair))[::-1]
+    return np.argsort(first)
 
 
 def compress(ids: np.ndarray, base: int, least: int = LEAST) -> Shard:
     """The grammar of ``ids``, all of which are below ``base``."""
     symbols = ids.astype(np.uint32)
-    left, right = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    left, right, lengths = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     bar = None
     while len(symbols) > 1:
-        pair, lefts, rights = _pairs(symbols, base + len(left))
-        counts = np.bincount(pair)
+        codes = _codes(symbols, base + len(left))
+        known, counts = _counted(codes)
         most = int(counts.max())
         if most < least:
             break
         bar = max(least, min(most, bar or most) // STEP)
-        frequent = np.flatnonzero(counts >= bar)
-        weight = np.zeros(len(counts), np.int32)
-        weight[frequent[np.argsort(counts[frequent], kind="stable")]] = np.arange(1, len(frequent) + 1)
-        chosen = np.flatnonzero(_unlike(weight[pair]))
-        used = np.bincount(pair[chosen], minlength=len(counts))
-        worth = used >= max(2, least // 2)
-        rules = np.flatnonzero(worth)
+        frequent = counts >= bar
+        known, counts = known[frequent], counts[frequent]
+        place, pair = _occurrences(codes, known)
+        order = _by_first(pair, len(known))
+        weight = np.zeros(len(known), np.int32)
+        weight[order[np.argsort(counts[order], kind="stable")]] = np.arange(1, len(known) + 1)
+        chosen = _unlike(place, weight[pair])
+        place, pair = place[chosen], pair[chosen]
+        worth = np.bincount(pair, minlength=len(known)) >= max(2, least // 2)
+        rules = order[worth[order]]
         if not len(rules):
             if bar == least:
                 break
             continue
-        chosen = chosen[worth[pair[chosen]]]
-        symbol = np.zeros(len(counts), np.uint32)
+        chosen = worth[pair]
+        place, pair = place[chosen], pair[chosen]
+        symbol = np.zeros(len(known), np.uint32)
         symbol[rules] = base + len(left) + np.arange(len(rules))
-        left, right = np.concatenate([left, lefts[rules]]), np.concatenate([right, rights[rules]])
+        half = known.dtype.type(known.itemsize * 4)
+        lefts, rights = known[rules] >> half, known[rules] & known.dtype.type((1 << int(half)) - 1)
+        lengths = np.concatenate([lengths, _spans(lefts, lengths, base) + _spans(rights, lengths, base)])
+        left, right = np.concatenate([left, lefts.astype(np.int64)]), np.concatenate([right, rights.astype(np.int64)])
         before = len(symbols)
-        symbols[chosen] = symbol[pair[chosen]]
+        symbols[place] = symbol[pair]
         kept = np.ones(before, bool)
-        kept[chosen + 1] = False
+        kept[place + 1] = False
         symbols = symbols[kept]
         if bar == least and before - len(symbols) < before * GAIN:
             break
-    return Shard(base, left.astype(np.int64), right.astype(np.int64), _lengths(left, right, base), symbols)
+    return Shard(base, left, right, lengths, symbols)
 
 
-def _lengths(left: np.ndarray, right: np.ndarray, base: int) -> np.ndarray:
-    out: list[int] = []
-    for a, b in zip((left.astype(np.int64) - base).tolist(), (right.astype(np.int64) - base).tolist()):
-        out.append((out[a] if a >= 0 else 1) + (out[b] if b >= 0 else 1))
-    return np.array(out, np.int64)
+def _spans(symbols: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
+    """How many ids each symbol stands for."""
+    return np.concatenate([[1], lengths])[np.maximum(symbols.astype(np.int64) - base + 1, 0)]
 
 
-def _expansions(shard: Shard) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of every rule, end to end, and where each begins."""
-    out: list[list[int]] = []
-    base = shard.base
-    for a, b in zip(shard.left.tolist(), shard.right.tolist()):
-        out.append((out[a - base] if a >= base else [a]) + (out[b - base] if b >= base else [b]))
-    flat = np.fromiter((i for ids in out for i in ids), np.int64, int(shard.lengths.sum()))
-    return flat, starts_of(shard.lengths)[:-1]
+def _expansions(shard: Shard) -> np.ndarray:
+    """The ids of every rule, end to end: all rules are replaced by their two symbols until none is left."""
+    out = np.arange(len(shard.left)) + shard.base
+    while (rule := out >= shard.base).any():
+        at = starts_of(1 + rule)[:-1][rule]
+        which = out[rule] - shard.base
+        out = np.repeat(out, 1 + rule)
+        out[at], out[at + 1] = shard.left[which], shard.right[which]
+    return out
 
 
-def _expanded(shard: Shard, symbols: np.ndarray, widths: np.ndarray) -> np.ndarray:
-    flat, begins = _expansions(shard)
-    table = np.concatenate([np.arange(shard.base), flat])
-    at = symbols.astype(np.int64)
-    rule = at >= shard.base
-    at[rule] = shard.base + begins[at[rule] - shard.base]
-    return table[places(at, widths)]
+def _expanded(shard: Shard, symbols: np.ndarray) -> np.ndarray:
+    table = np.concatenate([np.arange(shard.base, dtype=np.uint32), _expansions(shard).astype(np.uint32)])
+    bounds = np.concatenate([np.arange(shard.base), shard.base + starts_of(shard.lengths)])
+    return values_of(lists(table, bounds).take(pa.array(symbols)))[0]
 
 
 def ids_of(shard: Shard) -> np.ndarray:
     """All ids of the shard."""
-    return _expanded(shard, shard.symbols, shard.widths())
+    return _expanded(shard, shard.symbols)
 
 
 def ids_between(shard: Shard, start: int, end: int) -> np.ndarray:
     """The ids from ``start`` up to ``end``: only symbols that stand for some of them are expanded."""
     if end <= start:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.uint32)
     widths = shard.widths()
     ends = np.cumsum(widths)
     first, last = np.searchsorted(ends, [start, end - 1], "right")
-    found = _expanded(shard, shard.symbols[first : last + 1], widths[first : last + 1])
+    found = _expanded(shard, shard.symbols[first : last + 1])
     before = int(ends[first] - widths[first])
     return found[start - before : end - before]
 

@@ -17,6 +17,7 @@ symbols that stand for wanted ids.
 from __future__ import annotations
 
 import os
+import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,7 +35,8 @@ from tiffinlens.plans.lineage import scratch_path
 from tiffinlens.plans.scan import running_sum_before
 
 from . import repair
-from .flat import places, starts_of
+from .bpe import byte_alphabet
+from .flat import lists, starts_of, values_of
 from .staging import staged
 
 MAGIC = b"REPAIR01"
@@ -56,24 +58,43 @@ def _tokenizer(content: str):
 
 @cache
 def _merges(content: str):
-    """(the tokenizer, splitting at spaces and nothing else; which ids end a word)."""
+    """(the tokenizer's merges alone, words parted at spaces and made of ``_shown`` bytes; which ids end a word)."""
     from tokenizers import Tokenizer
-    from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
+    from tokenizers.pre_tokenizers import CharDelimiterSplit
 
     model = _tokenizer(content).model
     out = Tokenizer(model)
-    out.pre_tokenizer = Sequence([Split(" ", "removed"), ByteLevel(add_prefix_space=False, use_regex=False)])
+    out.pre_tokenizer = CharDelimiterSplit(" ")
     ends = np.zeros(out.get_vocab_size(), bool)
     ends[[i for token, i in out.get_vocab().items() if token.endswith(model.end_of_word_suffix)]] = True
     return out, ends
 
 
-# Letters that normalising and splitting leave as they are: Latin, Cyrillic and Greek ones in lower case.
-LETTERS = "^[a-zß-öø-ÿа-яα-ω]+$"
+# The character that the byte-level files have for each byte; a space stays one.
+SHOWN = np.array([" " if byte == 32 else char for byte, char in enumerate(byte_alphabet())], "U1").view(np.uint32)
+
+
+def _shown(text: str) -> str:
+    return SHOWN[np.frombuffer(text.encode(), np.uint8)].tobytes().decode(f"utf-32-{sys.byteorder[0]}e")
+
+
+# Latin, Cyrillic and Greek letters, in lower case and in both: normalising does no more to them than fold case.
+LOWER = "a-zß-öø-ÿа-яα-ω"
+BOTH = LOWER + "A-ZÀ-ÖØ-ÞА-ЯΑ-ΡΣ-Ω"
+# ASCII marks but the apostrophe and the bar.
+MARKS = r"!-&(-/:-@\[-`{}~"
+# Letters that normalising and splitting leave as they are.
+LETTERS = f"^[{LOWER}]+$"
+# What the file's pattern parts into runs of letters, runs of marks, and digits: of apostrophes it knows some
+# endings, and special tokens have bars.
+SIMPLE = f"^[{BOTH}0-9{MARKS}]+$"
+RUNS = f"([{BOTH}]+|[0-9]|[{MARKS}]+)"
 # Words of them that are handed over at once.
 JOINED = 128
+# What is not folded first: special tokens, which are told before, and letters that marks are put on in lower case only.
+UNFOLDED = r"<\||[HJTWY][^\x00-\x7F]"
 # Marks that the file's pattern always parts from a letter before them.
-STOPS = r"([A-Za-z])([.,;:!?])"
+STOPS = f"([{BOTH}])([{MARKS}])"
 
 
 # Bytes and number of the words whose ids a worker keeps from batch to batch.
@@ -83,23 +104,20 @@ KNOWN_WORDS = 1 << 19
 
 @dataclass
 class _Known:
-    """Distinct words with their ids, where each word's begin and how many they are."""
+    """Distinct words and the ids of each, as ``lists``."""
 
     words: pa.Array
-    ids: np.ndarray
-    starts: np.ndarray
-    lengths: np.ndarray
+    ids: pa.LargeBinaryArray
 
 
 @cache
 def _known(content: str) -> list[_Known]:
     """What this worker keeps: one table, which ``_encode_words`` replaces."""
-    none = np.zeros(0, np.int64)
-    return [_Known(pa.array([], pa.string()), np.zeros(0, np.uint32), none, none)]
+    return [_Known(pa.array([], pa.string()), lists(np.zeros(0, np.uint32), np.zeros(1, np.int64)))]
 
 
-def _encode_words(words: pa.Array, content: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(all ids, where each word's begin, ids per word) of distinct words; those of batches before are looked up.
+def _encode_words(words: pa.Array, content: str) -> pa.LargeBinaryArray:
+    """The ids of distinct words as ``lists``; those of batches before are looked up.
 
     When more words are known than may be kept, those of this batch are kept alone if they are not too many.
     """
@@ -107,11 +125,9 @@ def _encode_words(words: pa.Array, content: str) -> tuple[np.ndarray, np.ndarray
     place = pc.fill_null(pc.index_in(words, value_set=known.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
     new = np.flatnonzero(place < 0)
     added = words.take(pa.array(new))
-    ids, starts, lengths = _encode_new(added, content)
     place[new] = len(known.words) + np.arange(len(new))
-    starts = np.concatenate([known.starts, starts + len(known.ids)])[place]
-    lengths = np.concatenate([known.lengths, lengths])[place]
-    ids = np.concatenate([known.ids, ids])
+    table = pa.concat_arrays([known.ids, _encode_new(added, content)])
+    ids = table.take(pa.array(place))
 
     def kept(size: int, chars: int) -> bool:
         return size <= KNOWN_WORDS and chars <= KNOWN_BYTES
@@ -120,27 +136,35 @@ def _encode_words(words: pa.Array, content: str) -> tuple[np.ndarray, np.ndarray
         return pc.sum(pc.binary_length(some)).as_py() or 0
 
     if kept(len(known.words) + len(new), chars(known.words) + chars(added)):
-        sizes = np.concatenate([known.lengths, lengths[new]])
-        _known(content)[0] = _Known(pa.concat_arrays([known.words, added]), ids, np.concatenate([known.starts, starts[new]]), sizes)
+        _known(content)[0] = _Known(pa.concat_arrays([known.words, added]), table)
     elif kept(len(words), chars(words)):
-        _known(content)[0] = _Known(words, ids[places(starts, lengths)], starts_of(lengths)[:-1], lengths)
-    return ids, starts, lengths
+        _known(content)[0] = _Known(words, ids)
+    return ids
 
 
-def _encode_new(words: pa.Array, content: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(all ids, where each word's begin, ids per word) of distinct words; those of LETTERS alone go to the merges at once."""
+def _encode_new(words: pa.Array, content: str) -> pa.LargeBinaryArray:
+    """The ids of distinct words as ``lists``; those of LETTERS alone and SIMPLE ones go to the merges at once."""
     plain = pc.match_substring_regex(words, LETTERS).to_numpy(zero_copy_only=False)
-    order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
-    cut = int(plain.sum())
-    some = words.take(pa.array(order)).to_pylist()
+    order = np.argsort(~plain, kind="stable")
+    plains, others = (words.take(pa.array(some)) for some in np.split(order, [plain.sum()]))
+    simple = pc.match_substring_regex(others, SIMPLE).to_numpy(zero_copy_only=False)
+    order[len(plains) :] = order[len(plains) :][np.argsort(~simple, kind="stable")]
+    # The runs of a simple word are parted by spaces.
+    lower = pc.utf8_lower(others.filter(pa.array(simple)).cast(pa.large_string()))
+    runs = pc.utf8_rtrim(pc.replace_substring_regex(lower, RUNS, r"\1 "), " ")
+    some = plains.to_numpy(zero_copy_only=False).tolist() + runs.to_numpy(zero_copy_only=False).tolist()
+    pieces = np.concatenate([np.ones(len(plains), np.int64), 1 + pc.count_substring(runs, " ").to_numpy(zero_copy_only=False)])
     merges, ends = _merges(content)
-    joined = [" ".join(some[at : min(at + JOINED, cut)]) for at in range(0, cut, JOINED)]
+    joined = [_shown(" ".join(some[at : at + JOINED])) for at in range(0, len(some), JOINED)]
     first = _ids(merges.encode_batch_fast(joined, add_special_tokens=False))
-    rest = [e.ids for e in _tokenizer(content).encode_batch_fast(some[cut:], add_special_tokens=False)]
-    sizes = np.concatenate([np.diff(np.flatnonzero(ends[first]), prepend=-1), np.fromiter(map(len, rest), np.int64, len(rest))])
-    starts, lengths = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-    starts[order], lengths[order] = starts_of(sizes)[:-1], sizes
-    return np.concatenate([first, np.array(list(chain.from_iterable(rest)), np.uint32)]), starts, lengths
+    bounds = np.concatenate([[0], 1 + np.flatnonzero(ends[first])])[starts_of(pieces)]
+    rest = others.filter(pa.array(~simple)).to_numpy(zero_copy_only=False).tolist()
+    found = _tokenizer(content).encode_batch_fast(rest, add_special_tokens=False)
+    sizes = np.fromiter((len(e) for e in found), np.int64, len(found))
+    at = np.zeros(len(words), np.int64)
+    at[order] = np.arange(len(words))
+    every = lists(np.concatenate([first, _ids(found)]), np.concatenate([bounds, bounds[-1] + np.cumsum(sizes)]))
+    return every.take(pa.array(at))
 
 
 def _ids(found: list) -> np.ndarray:
@@ -150,26 +174,24 @@ def _ids(found: list) -> np.ndarray:
 def encode(texts: pa.Array, content: str) -> tuple[np.ndarray, np.ndarray]:
     """(all ids, ids per text) by a tokenizer file that folds case and drops white space.
 
-    Words between white space are encoded alone, and so are stops behind letters:
+    Words between white space are encoded alone, and so are marks behind letters:
     no token and no special token goes over such a place, and normalising does not
     either. Words that come up again are encoded once.
     """
     split = pc.ascii_split_whitespace(texts.fill_null(""))
     words = split.flatten().dictionary_encode()
-    # ASCII letters only: what folding does to others, the tokenizer knows. Special tokens are told before folding.
+    # ASCII letters only: what folding does to others, the tokenizer knows.
     known = words.dictionary
-    folded = pc.if_else(pc.match_substring(known, "<|"), known, pc.ascii_lower(known))
+    folded = pc.if_else(pc.match_substring_regex(known, UNFOLDED), known, pc.ascii_lower(known))
     parted = pc.ascii_split_whitespace(pc.replace_substring_regex(folded, STOPS, r"\1 \2"))
     parts = parted.flatten().dictionary_encode()
-    table, starts, lengths = _encode_words(parts.dictionary, content)
+    table = _encode_words(parts.dictionary, content)
     for codes, number in ((parts, parted), (words, split)):
         # The ids of each part of a word, then of each word of a text.
-        code = codes.indices.to_numpy(zero_copy_only=False)
-        table = table[places(starts[code], lengths[code])]
-        bounds = starts_of(pc.list_value_length(number).to_numpy(zero_copy_only=False))
-        starts = starts_of(lengths[code])[bounds]
-        lengths, starts = np.diff(starts), starts[:-1]
-    return table, lengths
+        ids, bounds = values_of(table.take(codes.indices))
+        bounds = bounds[starts_of(pc.list_value_length(number).to_numpy(zero_copy_only=False))]
+        table = lists(ids, bounds)
+    return ids, np.diff(bounds)
 
 
 @dataclass
@@ -190,7 +212,7 @@ class TokenFile:
     def between(self, start: int, end: int) -> np.ndarray:
         """The ids at positions ``start`` up to ``end`` of the file."""
         if end <= start:
-            return np.zeros(0, np.int64)
+            return np.zeros(0, np.uint32)
         found = []
         low, high = np.searchsorted(self.starts, [start, end - 1], "right") - 1
         for number in range(low, high + 1):
@@ -320,7 +342,7 @@ def _documents_of(file: TokenFile, adds: list[str]) -> Iterator[pa.RecordBatch]:
     starts = np.concatenate([[0], file.ends[:-1]]).astype(np.int64)
     number, at, left = 0, 0, np.zeros(0, np.uint32)  # left: ids of the document that goes on, before ``at``
     for shard in range(len(file.starts)):
-        left = np.concatenate([left, repair.ids_of(file.shard(shard)).astype(np.uint32)])
+        left = np.concatenate([left, repair.ids_of(file.shard(shard))])
         to = int(np.searchsorted(file.ends, at + len(left), "right"))
         here = slice(number, to)
         bounds = zip((starts[here] - at).tolist(), (file.ends[here] - at).tolist())
