@@ -196,6 +196,21 @@ def test_rows_older_than_the_state_are_replayed(spark, tmp_path, monkeypatch, re
     same(found, changefeed.status_log(changefeed.with_old_status(whole)))
 
 
+@pytest.mark.parametrize("apart", [1 << 17, 1 << 40])
+def test_replays_of_rows_that_lie_far_apart(spark, tmp_path, monkeypatch, apart):
+    """A replay inside a micro-batch goes over one level of slices, or over several."""
+    monkeypatch.setattr(feeds, "RECENT", 1)
+    monkeypatch.setattr(feeds._follow, "__module__", "__main__")
+    names = ["placed", "preparing", "preparing", "ready", "delivered", "placed", "delivered"]
+    rows = [(apart * i, 1, name) for i, name in enumerate(names)] + [(7, 2, "placed")]
+    stored = str(tmp_path / "in")
+    for batch in (rows[4:], rows[2:4], rows[:2]):
+        snapshot_rows(spark, batch).withColumn("changed_at", F.expr("timestamp_ntz '2024-01-01'")).coalesce(1).write.mode("append").parquet(stored)
+    stream = spark.readStream.schema(spark.read.parquet(stored).schema).option("maxFilesPerTrigger", 1).parquet(stored)
+    found, _ = log_of(spark, stream, stored, tmp_path)
+    assert sorted((r.seq // apart, r.status) for r in found.collect()) == [(1, "preparing"), (3, "ready"), (4, "delivered"), (5, "placed"), (6, "delivered")]
+
+
 def test_only_ranges_of_the_batch_are_read(spark, tmp_path, monkeypatch):
     ids = [1, 2, 5 * feeds.INVOICE_RANGE, 9 * feeds.INVOICE_RANGE + 3, 12 * feeds.INVOICE_RANGE]
     path = str(tmp_path / "issued")

@@ -83,7 +83,8 @@ def _carried(
             .join(above, [*keys, "_up"])
             .select(*keys, "_slice", joined(F.col("_inside"), F.col("_above")).alias("_carry"), *more)
         )
-    return carry
+    # As new attributes: in a micro-batch of a stream, Spark does not tell a checkpoint's from those of the rows joined to it.
+    return carry.select(*[F.col(c).alias(c) for c in carry.columns])
 
 
 def running_sum_before(
